@@ -31,16 +31,16 @@ def _wanted_ranks(total: Column, probs: Sequence[float]) -> Column:
 
 
 def _locate(counts: DataFrame, group: Sequence[str], order: str) -> DataFrame:
-    """Keep the rows of ``counts`` (``_n`` rows each) that hold a wanted rank.
+    """Keep the rows of ``counts`` (``_n`` values each) that hold a wanted rank.
 
-    ``_start`` is the rank at which the group begins; the rows that stay carry
-    their own.
+    ``_start`` is the rank at which the group begins; a row that stays carries
+    its own, and only its own wanted ranks.
     """
-    window = Window.partitionBy(*group).orderBy(order)
-    prior = window.rowsBetween(Window.unboundedPreceding, -1)
-    placed = counts.withColumn(
-        "_start", F.col("_start") + F.coalesce(F.sum("_n").over(prior), F.lit(0))
+    prior = (
+        Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     )
+    start = F.col("_start") + F.coalesce(F.sum("_n").over(prior), F.lit(0))
+    placed = counts.withColumn("_start", start)
     hits = F.filter(
         "_ranks", lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_n"))
     )
@@ -63,51 +63,45 @@ def exact_quantiles(
     """
     keys = list(keys)
     fractions = list(probs.values())
-    values = (
-        df.select(*keys, F.col(value).cast("double").alias("_v"))
-        .filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-        .withColumn("_b", order_bucket(F.col("_v")))
+    values = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(
+        F.col("_v").isNotNull() & ~F.isnan("_v")
     )
     small = keys_bounded or is_small(df.select(*keys).distinct(), BROADCAST_KEYS)
     side = F.broadcast if small else (lambda d: d)
-
-    coarse = values.groupBy(*keys, "_b").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+    spread = [F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+    carried = [F.any_value(c).alias(c) for c in ("_start", "_ranks", "_count")]
+
+    # Pass 1: fixed buckets. A few thousand rows per key meet in the window.
+    coarse = values.groupBy(*keys, order_bucket(F.col("_v")).alias("_b")).agg(*spread)
+    total = F.sum("_n").over(Window.partitionBy(*keys))
+    begun = coarse.withColumn("_count", total).withColumns(
+        {"_ranks": _wanted_ranks(F.col("_count"), fractions), "_start": F.lit(0).cast("long")}
     )
-    totals = coarse.withColumn("_count", F.sum("_n").over(Window.partitionBy(*keys)))
-    hits = _locate(
-        totals.withColumn("_ranks", _wanted_ranks(F.col("_count"), fractions)).withColumn(
-            "_start", F.lit(0).cast("long")
-        ),
-        keys,
-        "_b",
-    ).select(*keys, "_b", "_lo", "_hi", "_start", "_ranks", "_count")
+    hits = _locate(begun, keys, "_b").drop("_n")
 
+    # Pass 2: each bucket found is split evenly between its lowest and highest value.
     span = F.col("_hi") - F.col("_lo")
     share = F.floor((F.col("_v") - F.col("_lo")) / span * FINE_BUCKETS)
-    split = F.when(
+    slot = F.when(
         (span > 0) & (span < float("inf")), F.least(F.lit(FINE_BUCKETS - 1), share)
     ).otherwise(0)
-    inside = values.join(side(hits.select(*keys, "_b", "_lo", "_hi")), [*keys, "_b"]).withColumn(
-        "_f", split.cast("int")
+    split = (
+        _between(values, side(hits), keys)
+        .groupBy(*keys, "_b", slot.alias("_f"))
+        .agg(*spread, *carried)
     )
-    fine = _locate(
-        inside.groupBy(*keys, "_b", "_f")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .join(side(hits.drop("_lo", "_hi")), [*keys, "_b"]),
-        [*keys, "_b"],
-        "_f",
-    ).drop("_n")
+    found = _locate(split, [*keys, "_b"], "_f").drop("_n")
 
+    # Pass 3: the distinct values of the slots found.
     distinct = (
-        inside.join(side(fine.select(*keys, "_b", "_f")), [*keys, "_b", "_f"])
+        _between(values, side(found), keys)
         .groupBy(*keys, "_b", "_f", "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .join(side(fine), [*keys, "_b", "_f"])
+        .agg(F.count(F.lit(1)).alias("_n"), *carried)
     )
-    found = _locate(distinct, [*keys, "_b", "_f"], "_v").select(
+    picked = _locate(distinct, [*keys, "_b", "_f"], "_v").select(
         *keys, "_count", "_v", F.explode("_ranks").alias("_rank")
     )
+
     outputs = []
     for name, p in probs.items():
         place = (F.col("_count") - 1) * F.lit(float(p))
@@ -115,8 +109,15 @@ def exact_quantiles(
         high = F.element_at("_by_rank", F.ceil(place))
         outputs.append((low + (high - low) * (place - F.floor(place))).alias(name))
     # At most two ranks per quantile and key are left to gather.
+    by_rank = F.map_from_entries(F.collect_list(F.struct("_rank", "_v")))
     return (
-        found.groupBy(*keys, "_count")
-        .agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_by_rank"))
-        .select(*keys, "_count", *outputs)
+        picked.groupBy(*keys, "_count").agg(by_rank.alias("_by_rank")).select(*keys, "_count", *outputs)
     )
+
+
+def _between(values: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Values that lie in one of their key's disjoint ranges ``_lo`` to ``_hi``."""
+    named = ranges.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    inside = F.col("_v").between(F.col("_lo"), F.col("_hi"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return values.join(named, [*same, inside]).drop(*[f"_k_{k}" for k in keys])

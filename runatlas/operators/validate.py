@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,47 +14,39 @@ ABSENT = "_absent"  # optional array column: names of the fields the raw record
 NOT_TEXT = "_not_text"  # optional array column: text fields that hold something else
 
 
-def _out_of_range(value: Column, field: Field) -> Column:
+def _out_of_range(field: Field) -> str:
     """True where a value breaks its bounds. NaN breaks any bound."""
-    checks = [F.isnan(value)] if isinstance(field.dtype, T.DoubleType) else []
-    if field.gt is not None:
-        checks.append(value <= field.gt)
-    if field.ge is not None:
-        checks.append(value < field.ge)
-    if field.lt is not None:
-        checks.append(value >= field.lt)
-    if field.le is not None:
-        checks.append(value > field.le)
-    return reduce(lambda a, b: a | b, checks)
-
-
-def _fault(field: Field, raw: Column, typed: Column, flags: set[str]) -> Column:
-    """The error code of one field, or null where it is fine."""
-    def code(kind: str) -> Column:
-        return F.lit(f"{field.name}:{kind}")
-
-    steps: list[tuple[Column, str]] = []
-    absent = F.array_contains(ABSENT, field.name) if ABSENT in flags else None
+    checks = [f"isnan({field.name})"] if isinstance(field.dtype, T.DoubleType) else []
+    for bound, breaks in ((field.gt, "<="), (field.ge, "<"), (field.lt, ">="), (field.le, ">")):
+        if bound is not None:
+            checks.append(f"{field.name} {breaks} {bound}")
+    return " OR ".join(checks)
+
+
+def _fault(field: Field, flags: set[str]) -> str | None:
+    """SQL text of the error code of one typed field; null where it is fine."""
+    name, was_null = field.name, f"_null_{field.name}"
+    steps: list[tuple[str, str]] = []
     if not field.nullable:
         if field.default is None:
-            steps.append((raw.isNull(), "missing"))
-        elif absent is not None:
+            steps.append((was_null, "missing"))
+        elif ABSENT in flags:
             # An explicit null does not take the default.
-            steps.append((raw.isNull() & ~absent, "type"))
-    if NOT_TEXT in flags and isinstance(field.dtype, T.StringType):
-        steps.append((F.array_contains(NOT_TEXT, field.name), "type"))
-    if not isinstance(field.dtype, T.StringType):
-        steps.append((raw.isNotNull() & typed.isNull(), "type"))
+            steps.append((f"{was_null} AND NOT array_contains({ABSENT}, '{name}')", "type"))
+    if isinstance(field.dtype, T.StringType):
+        if NOT_TEXT in flags:
+            steps.append((f"array_contains({NOT_TEXT}, '{name}')", "type"))
+    else:
+        steps.append((f"NOT {was_null} AND {name} IS NULL", "type"))
     if field.allowed:
-        steps.append((~typed.isin(*field.allowed), "enum"))
+        choices = ", ".join(f"'{a}'" for a in field.allowed)
+        steps.append((f"{name} NOT IN ({choices})", "enum"))
     if field.bounded:
-        steps.append((_out_of_range(typed, field), "range"))
+        steps.append((_out_of_range(field), "range"))
     if not steps:
-        return F.lit(None).cast("string")
-    fault = F.when(steps[0][0], code(steps[0][1]))
-    for condition, kind in steps[1:]:
-        fault = fault.when(condition, code(kind))
-    return fault
+        return None
+    cases = " ".join(f"WHEN {condition} THEN '{name}:{kind}'" for condition, kind in steps)
+    return f"CASE {cases} END"
 
 
 def audit(raw: DataFrame, fields: Sequence[Field] = RECORD_FIELDS) -> DataFrame:
@@ -64,21 +54,31 @@ def audit(raw: DataFrame, fields: Sequence[Field] = RECORD_FIELDS) -> DataFrame:
 
     Raw columns may be text or already typed; missing optional columns count
     as null. Other columns pass through.
+
+    The typed columns come out of a generator. A filter on what follows stays
+    above it; Spark would otherwise copy the whole expression of every column
+    into the filter, and with many derived columns that grows out of hand.
     """
     kinds = {f.name: f.dataType for f in raw.schema.fields}
     flags = {ABSENT, NOT_TEXT} & set(kinds)
-    typed, faults = [], []
+    columns: list[str] = []
     for field in fields:
-        present = field.name in kinds
-        source = F.col(field.name) if present else F.lit(None).cast("string")
-        value = coerce(source, kinds.get(field.name, T.StringType()), field.dtype)
+        kind = kinds.get(field.name, T.StringType())
+        source = field.name if field.name in kinds else "cast(NULL AS STRING)"
+        value = coerce(source, kind, field.dtype)
         if field.default is not None:
-            value = F.coalesce(value, F.lit(field.default))
-        typed.append(value.alias(field.name))
-        faults.append(_fault(field, source, value, flags))
-    names = {f.name for f in fields}
+            value = f"coalesce({value}, '{field.default}')"
+        columns += [f"{value} AS {field.name}", f"{source} IS NULL AS _null_{field.name}"]
+    names = [f.name for f in fields]
     rest = [c for c in raw.columns if c not in names and c not in flags]
-    return raw.select(*typed, *rest, F.array_compact(F.array(*faults)).alias("errors"))
+    typed = raw.selectExpr(f"inline(array(struct({', '.join([*columns, *rest, *sorted(flags)])})))")
+    faults = ", ".join(f for f in (_fault(field, flags) for field in fields) if f)
+    # Most records are fine: the list is only built where some fault is found.
+    errors = (
+        f"CASE WHEN coalesce({faults}) IS NULL THEN array() "
+        f"ELSE array_compact(array({faults})) END AS errors"
+    )
+    return typed.selectExpr(*names, *rest, errors)
 
 
 def valid_rows(audited: DataFrame) -> DataFrame:
@@ -111,7 +111,8 @@ def reject_reasons(audited: DataFrame) -> DataFrame:
 def audit_events(raw: DataFrame) -> DataFrame:
     """Validation of prediction events; a truth that does not parse becomes null."""
     kind = raw.schema["ground_truth"].dataType
-    lenient = raw.withColumn("ground_truth", coerce(F.col("ground_truth"), kind, T.DoubleType()))
+    truth = F.expr(coerce("ground_truth", kind, T.DoubleType()))
+    lenient = raw.withColumn("ground_truth", truth)
     return audit(lenient, EVENT_FIELDS)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,13 +74,18 @@ def load_calendar(store: TableStore, start: str | Column, end: str | Column) ->
 
 
 def load_dimensions(store: TableStore, staging: DataFrame) -> dict[str, DataFrame]:
-    """Append the dimension rows that staging brings; rows already there keep their keys."""
-    loaded = {}
-    for table in DIMENSIONS:
+    """Append the dimension rows that staging brings; rows already there keep their keys.
+
+    The dimensions do not depend on each other, so their jobs run side by side.
+    """
+
+    def load(table: str) -> DataFrame:
         schema = dimension_schema(table)
         existing = store.read(table, schema) if store.exists(table) else None
-        loaded[table] = store.append(new_dimension_rows(staging, table, existing), table)
-    return loaded
+        return store.append(new_dimension_rows(staging, table, existing), table)
+
+    with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
+        return dict(zip(DIMENSIONS, pool.map(load, DIMENSIONS), strict=True))
 
 
 def load_fact(store: TableStore, staging: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
