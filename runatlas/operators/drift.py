@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runatlas.functions.scalars import half_up, let
 from runatlas.operators.keyed import first_n_per_key, is_small
-from runatlas.operators.quantiles import BROADCAST_KEYS, exact_quantiles
+from runatlas.operators.quantiles import (
+    BROADCAST_KEYS,
+    interpolate,
+    neighbours,
+    values_at_ranks,
+)
 
 MODEL = ("model_name", "model_version")
 
@@ -69,23 +74,33 @@ def model_windows(events: DataFrame, window: int = WINDOW) -> DataFrame:
     return counts.join(baseline, list(MODEL)).join(recent, list(MODEL))
 
 
+def grid(n: Column, place_to: Callable[[Column], Column]) -> Column:
+    """One element per bin edge of ``n`` values, from the edge's place among them."""
+    bins = bin_count(n)
+
+    def element(i: Column) -> Column:
+        share = F.when(i == bins, 1.0).otherwise(i * (F.lit(1.0) / bins))
+        return place_to((n - 1) * share)
+
+    return F.transform(F.sequence(F.lit(0), bins), element)
+
+
+def distinct_edges(edges: Column) -> Column:
+    return F.array_sort(F.array_distinct(edges))
+
+
 def array_edges(sample: Column) -> Column:
     """Distinct bin edges: evenly spaced quantiles of the array."""
 
     def quantiles(ordered: Column) -> Column:
-        n = F.size(ordered)
-        bins = bin_count(n)
-
-        def quantile(i: Column) -> Column:
-            share = F.when(i == bins, 1.0).otherwise(i * (F.lit(1.0) / bins))
-            place = (n - 1) * share
+        def at(place: Column) -> Column:
             low = F.element_at(ordered, F.floor(place).cast("int") + 1)
             high = F.element_at(ordered, F.ceil(place).cast("int") + 1)
             return low + (high - low) * (place - F.floor(place))
 
-        return F.transform(F.sequence(F.lit(0), bins), quantile)
+        return grid(F.size(ordered), at)
 
-    return F.array_sort(F.array_distinct(let(F.array_sort(sample), quantiles)))
+    return distinct_edges(let(F.array_sort(sample), quantiles))
 
 
 def histogram(baseline: Column, recent: Column) -> Column:
@@ -185,18 +200,13 @@ def drift_status(
 # --- samples of any size: long rows, counted per bin ---------------------------
 
 
-def _grid(bins: int) -> list[float]:
-    return [1.0 if i == bins else i * (1.0 / bins) for i in range(bins + 1)]
-
-
 def sample_edges(sample: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Bin edges per key for a sample of any size."""
-    fractions = sorted({q for b in range(2, MAX_BINS + 1) for q in _grid(b)})
-    name = {q: f"_f{i}" for i, q in enumerate(fractions)}
-    quantiles = exact_quantiles(sample, keys, value, {name[q]: q for q in fractions})
-    grids = F.array(*[F.array(*[name[q] for q in _grid(b)]) for b in range(2, MAX_BINS + 1)])
-    chosen = F.element_at(grids, bin_count(F.col("_count")) - 1)
-    return quantiles.select(*keys, F.array_sort(F.array_distinct(chosen)).alias("edges"))
+    n = F.col("_count")
+    ranks = F.array_distinct(F.flatten(grid(n, neighbours)))
+    picked = values_at_ranks(sample, keys, value, ranks)
+    edges = grid(n, lambda place: interpolate(F.col("_by_rank"), place))
+    return picked.select(*keys, distinct_edges(edges).alias("edges"))
 
 
 def sample_psi(
@@ -207,7 +217,7 @@ def sample_psi(
     Keys of either sample get a row; 0.0 stands where the index has no meaning.
     """
     keys = list(keys)
-    edges = sample_edges(baseline, keys, value).filter(usable(F.col("edges")))
+    edges = sample_edges(baseline, keys, value)
     if is_small(baseline.select(*keys).distinct(), BROADCAST_KEYS):
         edges = F.broadcast(edges)
     both = baseline.select(*keys, F.col(value).alias("_v"), F.lit(1).alias("_base")).unionByName(
@@ -229,7 +239,6 @@ def sample_psi(
         return total + stability_term(c["base"], F.col("base_n"), c["late"], F.col("late_n"))
 
     filled = F.aggregate("cells", F.lit(0.0), add)
-    # Bins that neither sample reached add (0 - 0): every bin has a baseline
-    # quantile at its lower edge, so only counted bins matter.
+    # A bin that neither sample reached has equal shares and adds nothing.
     measurable = F.coalesce(F.col("_edges") >= 3, F.lit(False)) & (F.col("base_n") > 0) & (F.col("late_n") > 0)
     return cells.select(*keys, F.when(measurable, filled).otherwise(0.0).alias("psi"))

@@ -21,13 +21,16 @@ FINE_BUCKETS = 4096
 BROADCAST_KEYS = 20_000
 
 
-def _wanted_ranks(total: Column, probs: Sequence[float]) -> Column:
-    """0-based ranks of the two neighbours of every quantile."""
-    ranks = []
-    for p in probs:
-        place = (total - 1) * F.lit(float(p))
-        ranks += [F.floor(place), F.ceil(place)]
-    return F.array_distinct(F.array(*ranks))
+def neighbours(place: Column) -> Column:
+    """The two 0-based ranks between which a place in the sorted values lies."""
+    return F.array(F.floor(place), F.ceil(place))
+
+
+def interpolate(by_rank: Column, place: Column) -> Column:
+    """The value at a place, from a map of ranks to values."""
+    low = F.element_at(by_rank, F.floor(place))
+    high = F.element_at(by_rank, F.ceil(place))
+    return low + (high - low) * (place - F.floor(place))
 
 
 def _locate(counts: DataFrame, group: Sequence[str], order: str) -> DataFrame:
@@ -54,15 +57,36 @@ def exact_quantiles(
     probs: dict[str, float],
     keys_bounded: bool = False,
 ) -> DataFrame:
-    """One row per key: ``_count`` and the interpolated quantile for each name in ``probs``.
+    """One row per key: ``_count`` and the interpolated quantile for each name in ``probs``."""
 
-    Nulls and NaN are left out. ``keys_bounded`` states that the key's domain
-    is fixed and small; otherwise the keys are counted, up to a limit, before
-    the located buckets are broadcast, and past the limit they are joined by
-    shuffle.
+    def place(p: float) -> Column:
+        return (F.col("_count") - 1) * F.lit(float(p))
+
+    ranks = F.flatten(F.array(*[neighbours(place(p)) for p in probs.values()]))
+    picked = values_at_ranks(df, keys, value, F.array_distinct(ranks), keys_bounded)
+    return picked.select(
+        *keys,
+        "_count",
+        *[interpolate(F.col("_by_rank"), place(p)).alias(name) for name, p in probs.items()],
+    )
+
+
+def values_at_ranks(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    ranks: Column,
+    keys_bounded: bool = False,
+) -> DataFrame:
+    """One row per key: ``_count`` and a map ``_by_rank`` of the wanted ranks' values.
+
+    ``ranks`` is an array of 0-based ranks, which may depend on ``_count`` and
+    should be few. Nulls and NaN are left out. ``keys_bounded`` states that the
+    key's domain is fixed and small; otherwise the keys are counted, up to a
+    limit, before the located buckets are broadcast, and past the limit they
+    are joined by shuffle.
     """
     keys = list(keys)
-    fractions = list(probs.values())
     values = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(
         F.col("_v").isNotNull() & ~F.isnan("_v")
     )
@@ -75,7 +99,7 @@ def exact_quantiles(
     coarse = values.groupBy(*keys, order_bucket(F.col("_v")).alias("_b")).agg(*spread)
     total = F.sum("_n").over(Window.partitionBy(*keys))
     begun = coarse.withColumn("_count", total).withColumns(
-        {"_ranks": _wanted_ranks(F.col("_count"), fractions), "_start": F.lit(0).cast("long")}
+        {"_ranks": ranks, "_start": F.lit(0).cast("long")}
     )
     hits = _locate(begun, keys, "_b").drop("_n")
 
@@ -102,17 +126,9 @@ def exact_quantiles(
         *keys, "_count", "_v", F.explode("_ranks").alias("_rank")
     )
 
-    outputs = []
-    for name, p in probs.items():
-        place = (F.col("_count") - 1) * F.lit(float(p))
-        low = F.element_at("_by_rank", F.floor(place))
-        high = F.element_at("_by_rank", F.ceil(place))
-        outputs.append((low + (high - low) * (place - F.floor(place))).alias(name))
-    # At most two ranks per quantile and key are left to gather.
+    # A few ranks per key are left to gather.
     by_rank = F.map_from_entries(F.collect_list(F.struct("_rank", "_v")))
-    return (
-        picked.groupBy(*keys, "_count").agg(by_rank.alias("_by_rank")).select(*keys, "_count", *outputs)
-    )
+    return picked.groupBy(*keys, "_count").agg(by_rank.alias("_by_rank"))
 
 
 def _between(values: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
