@@ -16,7 +16,7 @@ STRATEGIES = ("median", "drop", "flag")
 FLAG = "data_quality_flag"
 
 
-def deduplicate(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+def deduplicate(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """One row per experiment: the first in ingest order."""
     return keep_first(df, ["experiment_id"], order)
 
@@ -71,7 +71,7 @@ def missing_metrics_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count_if(metrics_missing()).alias("affected_rows"))
 
 
-def clean(valid: DataFrame, order: Sequence[Column], strategy: str) -> DataFrame:
+def clean(valid: DataFrame, order: Sequence[Column | str], strategy: str) -> DataFrame:
     """Duplicates out, then missing metrics handled."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; choose one of {', '.join(STRATEGIES)}")

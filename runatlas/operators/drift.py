@@ -90,7 +90,7 @@ def distinct_edges(edges: Column) -> Column:
 
 
 def array_edges(sample: Column) -> Column:
-    """Distinct bin edges: evenly spaced quantiles of the array."""
+    """Distinct bin edges: evenly spaced quantiles of the array; null if it is empty."""
 
     def quantiles(ordered: Column) -> Column:
         def at(place: Column) -> Column:
@@ -100,7 +100,8 @@ def array_edges(sample: Column) -> Column:
 
         return grid(F.size(ordered), at)
 
-    return distinct_edges(let(F.array_sort(sample), quantiles))
+    edges = distinct_edges(let(F.array_sort(sample), quantiles))
+    return F.when(F.size(sample) > 0, edges)
 
 
 def histogram(baseline: Column, recent: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Window
 SALTS = 256
 
 
-def first_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
+def first_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int) -> DataFrame:
     """The first ``n`` rows of every key in the given order.
 
     Spark cuts each key to ``n`` rows inside every map task before it
@@ -33,7 +33,7 @@ def order_inputs(df: DataFrame) -> list[Column]:
     return [F.col(f"`{name}`") for name, kind in df.dtypes if kind not in ("variant",) and "map" not in kind]
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per key: the first in the given order."""
     return first_n_per_key(df, keys, order, 1)
 

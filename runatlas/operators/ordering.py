@@ -26,7 +26,7 @@ def hash_bucket(*parts: Column) -> Column:
 def with_position(
     df: DataFrame,
     bucket: Column,
-    order: Sequence[Column],
+    order: Sequence[Column | str],
     name: str,
     start: Column | int = 0,
 ) -> DataFrame:

@@ -43,7 +43,7 @@ class Settings:
 
 
 def run_etl(
-    raw: DataFrame, order: Sequence[Column], store: TableStore, strategy: str = "median"
+    raw: DataFrame, order: Sequence[Column | str], store: TableStore, strategy: str = "median"
 ) -> bool:
     """Validate and clean ``raw`` into the ``staging`` table; rejects go to ``rejects``.
 
@@ -109,7 +109,7 @@ def load_warehouse(store: TableStore, settings: Settings) -> bool:
 def run_pipeline(
     spark: SparkSession,
     raw: DataFrame | None,
-    order: Sequence[Column],
+    order: Sequence[Column | str],
     root: str,
     settings: Settings = Settings(),
 ) -> Star | None:
