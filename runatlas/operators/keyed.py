@@ -45,4 +45,4 @@ def is_small(df: DataFrame, max_rows: int) -> bool:
 
 def missing_from(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``incoming`` whose key ``existing`` does not hold."""
-    return incoming.join(existing.select(*keys).distinct(), list(keys), "left_anti")
+    return incoming.join(existing.select(*keys), list(keys), "left_anti")

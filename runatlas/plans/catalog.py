@@ -68,7 +68,8 @@ def with_sql(ctes: str, select: str) -> str:
 
 # --- the star schema is built once per session and folder, then read as tables ----
 
-_STARS: dict[tuple[str, str], TableStore] = {}
+_STORES: dict[tuple[str, str], str] = {}
+_STARS: dict[str, views.Star] = {}
 
 
 def build_star(spark: SparkSession, sf_dir: str) -> TableStore:
@@ -87,13 +88,17 @@ def build_star(spark: SparkSession, sf_dir: str) -> TableStore:
 
 def star_store(spark: SparkSession, sf_dir: str) -> TableStore:
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STARS:
-        _STARS[key] = build_star(spark, sf_dir)
-    return TableStore(spark, _STARS[key].root)
+    if key not in _STORES:
+        _STORES[key] = build_star(spark, sf_dir).root
+    return TableStore(spark, _STORES[key])
 
 
 def _star(spark: SparkSession, sf_dir: str) -> views.Star:
-    return views.Star.load(star_store(spark, sf_dir))
+    """The star's tables, whose files are listed once."""
+    store = star_store(spark, sf_dir)
+    if store.root not in _STARS:
+        _STARS[store.root] = views.Star.load(store)
+    return _STARS[store.root]
 
 
 def _staging(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -699,16 +704,23 @@ def drift_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.drift_alerts(drift.check_drift(_events(spark, sf_dir), threshold=0.05), 0.05)
 
 
+_PLACE = "(CASE WHEN i = bins THEN 1.0::DOUBLE ELSE i * (1.0::DOUBLE / bins) END * (n - 1))"
+
+
 @query(
     "psi_first_half_vs_second_half",
     with_sql(
         oracle.EVENTS,
         f""", halves AS (
   SELECT *, event_timestamp < (SELECT min(event_timestamp) FROM predictions) + INTERVAL 15 DAY AS is_base FROM predictions),
-edges AS (
-  SELECT model_name, list_sort(list_distinct(quantile_cont(prediction,
-    [0.0, 0.1, 0.2, 0.30000000000000004, 0.4, 0.5, 0.6000000000000001, 0.7000000000000001, 0.8, 0.9, 1.0]))) AS e
+sizes AS (
+  SELECT model_name, list_sort(list(prediction)) AS o, count(*) AS n, greatest(2, least(10, count(*) // 20)) AS bins
   FROM halves WHERE is_base GROUP BY 1),
+edges AS (
+  SELECT model_name, list_sort(list_distinct(list_transform(range(bins + 1), lambda i:
+    o[CAST(floor({_PLACE}) AS BIGINT) + 1] + (o[CAST(ceil({_PLACE}) AS BIGINT) + 1] - o[CAST(floor({_PLACE}) AS BIGINT) + 1])
+      * ({_PLACE} - floor({_PLACE}))))) AS e
+  FROM sizes),
 binned AS (
   SELECT model_name, is_base, CASE WHEN prediction BETWEEN e[1] AND e[-1]
     THEN least(len(list_filter(e, lambda x: x <= prediction)), len(e) - 1) END AS bin

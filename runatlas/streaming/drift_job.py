@@ -11,9 +11,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runatlas.functions.scalars import half_up
 from runatlas.operators.alerts import drift_alerts
 from runatlas.operators.drift import MODEL, THRESHOLD, WINDOW, with_psi
-from runatlas.functions.scalars import half_up
 from runatlas.operators.keyed import first_n_per_key
 
 _EVENT = ("event_timestamp", "stream_entry_id", "prediction")
@@ -48,13 +48,19 @@ class DriftJob:
         Every path carries the batch id, so a replayed batch overwrites itself.
         """
         spark = fresh.sparkSession
-        state = self._merged(fresh, _read(spark, self.state_path(batch_id - 1)))
-        state.write.mode("overwrite").parquet(self.state_path(batch_id))
+        old = _read(spark, self.state_path(batch_id - 1))
+        if old is None and batch_id > 0:
+            raise ValueError(f"no drift state after batch {batch_id - 1}; call seed() first")
+        self._merged(fresh, old).write.mode("overwrite").parquet(self.state_path(batch_id))
         results = self.check(spark, batch_id).filter("touched")
         drift_alerts(results, self.threshold).write.mode("overwrite").parquet(
             f"{self.alerts_path()}/batch_id={batch_id}"
         )
 
+    def seed(self, events: DataFrame, batch_id: int) -> None:
+        """Build the state after ``batch_id`` from all events so far, for a stream already running."""
+        self._merged(events, None).write.mode("overwrite").parquet(self.state_path(batch_id))
+
     def _merged(self, fresh: DataFrame, old: DataFrame | None) -> DataFrame:
         """One row per model and side: its window as structs, and its event count."""
         rows = fresh.select(*MODEL, *_EVENT)

@@ -44,23 +44,28 @@ def store_batch(batch: DataFrame, batch_id: int, table: str, quarantine: str) ->
             F.col("errors")
         ),
     )
-    faulty = rejected_rows(judged).withColumn("validation_error", F.concat_ws("; ", "errors"))
-    faulty.drop("errors").write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
-
-    order = [F.col(c) for c in ("event_timestamp", *EVENT_COLUMNS[:-1])]
-    fresh = keep_first(valid_rows(judged), ["stream_entry_id"], order).withColumn(
-        "event_date", F.to_date("event_timestamp")
-    )
-    stored = read_predictions(spark, table)
-    if stored is not None:
-        first, last = fresh.agg(F.min("event_date"), F.max("event_date")).first()
-        known = stored.filter(
-            (F.col("batch_id") != batch_id) & F.col("event_date").between(first, last)
+    # The batch is read for the quarantine, for its dates and for the write.
+    judged.persist()
+    try:
+        faulty = rejected_rows(judged).withColumn("validation_error", F.concat_ws("; ", "errors"))
+        faulty.drop("errors").write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+        order = [F.col(c) for c in ("event_timestamp", *EVENT_COLUMNS[:-1])]
+        fresh = keep_first(valid_rows(judged), ["stream_entry_id"], order).withColumn(
+            "event_date", F.to_date("event_timestamp")
         )
-        fresh = missing_from(fresh, known, ["stream_entry_id"])
-    fresh.withColumn("ingested_at", F.current_timestamp()).write.mode("overwrite").partitionBy(
-        "event_date"
-    ).parquet(f"{table}/batch_id={batch_id}")
+        stored = read_predictions(spark, table)
+        if stored is not None:
+            dates = valid_rows(judged).select(F.to_date("event_timestamp").alias("d"))
+            first, last = dates.agg(F.min("d"), F.max("d")).first()
+            known = stored.filter(
+                (F.col("batch_id") != batch_id) & F.col("event_date").between(first, last)
+            )
+            fresh = missing_from(fresh, known, ["stream_entry_id"])
+        fresh.withColumn("ingested_at", F.current_timestamp()).write.mode("overwrite").partitionBy(
+            "event_date"
+        ).parquet(f"{table}/batch_id={batch_id}")
+    finally:
+        judged.unpersist()
     written = read_predictions(spark, table)
     return written.filter(F.col("batch_id") == batch_id)
 

@@ -20,7 +20,7 @@ def stateful_session(spark: SparkSession, partitions: int | None = None) -> Spar
     set here and not left to the session's shuffle default.
     """
     session = spark.newSession()
-    session.conf.set("spark.sql.session.timeZone", "UTC")
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     width = partitions or max(1, spark.sparkContext.defaultParallelism)
     session.conf.set("spark.sql.shuffle.partitions", str(width))
     return session
