@@ -24,7 +24,7 @@ from runatlas.operators.validate import (
 from runatlas.plans import adapter, oracle, views
 from runatlas.plans.pipeline import Settings, run_pipeline
 from runatlas.schemas import DIMENSIONS, VIEW_NAMES
-from runatlas.session import workspace
+from runatlas.session import materialize, workspace
 from runatlas.sources import event_log, json_records, tables
 from runatlas.sources.tables import TableStore
 from runatlas.streaming import metrics
@@ -412,7 +412,8 @@ SELECT CASE WHEN is_early THEN row_number() OVER (PARTITION BY is_early ORDER BY
 def dim_upsert_second_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Early runs loaded first, then all: known experiments keep their keys, new ones follow."""
     staging = _staging(spark, sf_dir)
-    existing = dimensions.new_dimension_rows(_early(staging), "dim_experiment", None)
+    first_load = dimensions.new_dimension_rows(_early(staging), "dim_experiment", None)
+    existing = materialize(first_load, scratch(spark, "dim_experiment"))
     added = dimensions.new_dimension_rows(staging, "dim_experiment", existing)
     return existing.unionByName(added)
 
