@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from runatlas.functions.profiles import GPU_PROFILES, MODEL_PROFILES
 from runatlas.functions.scalars import f1
 from runatlas.schemas import FRAMEWORKS, OPTIMIZERS, SCHEDULERS
+from runatlas.session import spread
 
 # Order of the raw records, unique within an experiment id.
 RAW_ORDER = ("source_rank", "timestamp", "l_partkey", "l_suppkey", "l_extendedprice")
@@ -32,7 +33,7 @@ def _utc(column: str) -> Column:
 
 def raw_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw run per line item, with the faults that validation is there to find."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size", "p_retailprice")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -201,7 +202,7 @@ def tracked_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     pairs = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in values.items()])
     return (
-        table(spark, sf_dir, "lineitem")
+        spread(table(spark, sf_dir, "lineitem"))
         .select(
             F.md5(F.col("l_orderkey").cast("string")).alias("run_id"),
             F.col("l_linenumber").alias("step"),

@@ -313,7 +313,9 @@ def dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("missing_metrics_median", with_sql(oracle.CLEAN, _RECORD_SQL + "clean"))
 def missing_metrics_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain_times(clean.handle_missing_metrics(_deduped(spark, sf_dir), "median"))
+    # The medians take several passes, so the deduplicated rows are written once.
+    deduped = materialize(_deduped(spark, sf_dir), scratch(spark, "deduped"))
+    return plain_times(clean.handle_missing_metrics(deduped, "median"))
 
 
 @query(

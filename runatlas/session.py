@@ -47,3 +47,12 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` and read it back: cuts the lineage and gives true statistics."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of an input out to all cores if it has fewer splits than there are cores.
+
+    A large input has more splits than that and passes unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
