@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from runatlas.llm import jaccard_join
+from runatlas.llm import jaccard_join, token_counts, word_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,8 +20,20 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
+def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return word_bpe.encode_documents(_table(spark, sf_dir, "documents"), path, keep=False)
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), path)
+
+
 QUERIES: dict[str, Query] = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_bpe_codec": op3_bpe_codec,
+    "op5_token_counts": op5_token_counts,
 }
 
 ORACLE: dict[str, str] = {}
