@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from runatlas.llm import jaccard_join, token_counts, word_bpe
+from runatlas.llm import jaccard_join, spot_signatures, token_counts, word_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,10 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.encode_documents(_table(spark, sf_dir, "documents"), path, keep=False)
 
 
+def op4_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_signatures.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), path)
@@ -33,6 +37,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_bpe_codec": op3_bpe_codec,
+    "op4_spot_signatures": op4_spot_signatures,
     "op5_token_counts": op5_token_counts,
 }
 
