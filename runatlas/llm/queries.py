@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from runatlas.llm import jaccard_join, spot_signatures, token_counts, word_bpe
+from runatlas.llm import jaccard_join, spot_signatures, token_counts, warc, word_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,11 +34,16 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), path)
 
 
+def op9_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_bpe_codec": op3_bpe_codec,
     "op4_spot_signatures": op4_spot_signatures,
     "op5_token_counts": op5_token_counts,
+    "op9_warc_zstd": op9_warc_zstd,
 }
 
 ORACLE: dict[str, str] = {}
