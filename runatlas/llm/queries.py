@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from runatlas.llm import jaccard_join, spot_signatures, token_counts, warc, word_bpe
+from runatlas.llm import jaccard_join, language_mix, spot_signatures, token_counts, warc, word_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_mix.predict_languages(_table(spark, sf_dir, "documents"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicate_groups(_table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ def op9_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language_mix": op1_language_mix,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_bpe_codec": op3_bpe_codec,
     "op4_spot_signatures": op4_spot_signatures,
