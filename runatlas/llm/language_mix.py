@@ -23,6 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from runatlas.llm.scratch import let_workers_import, plain_columns
 from runatlas.llm.wordgrid import byte_table, find_words, text_slices
@@ -192,6 +193,27 @@ def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colum
     return docs.mapInArrow(_predict(shared, keep_mix), f"doc_id {kind}, lang_pred string, score double{more}")
 
 
+def predict_beside(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
+    """All columns of ``docs`` with ``lang_pred`` and ``score`` beside them; columns of these names give way."""
+    let_workers_import(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    docs = docs.select(*[docs[f"`{c}`"] for c in docs.columns if c not in ("lang_pred", "score")])
+
+    def run(batches):
+        for batch in batches:
+            text = batch.column(docs_text)
+            named = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows), text], ["doc_id", "text"])
+            for found in _predict(shared, False)([named]):
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, found.column("lang_pred"), found.column("score")],
+                    [*batch.schema.names, "lang_pred", "score"],
+                )
+
+    docs_text = docs.columns.index(text_column)
+    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return docs.mapInArrow(run, schema)
+
+
 def held_out(doc_id: str = "doc_id"):
     """Documents that teach nothing: a quarter, by the checksum of the id's digits."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from runatlas.llm import jaccard_join, language_mix, secret_scan, spot_signatures, token_counts, warc, word_bpe
+from runatlas.llm import decontaminate, jaccard_join, language_mix, secret_scan, spot_signatures, token_counts, warc, word_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), path)
 
 
+def op7_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Query] = {
     "op3_bpe_codec": op3_bpe_codec,
     "op4_spot_signatures": op4_spot_signatures,
     "op5_token_counts": op5_token_counts,
+    "op7_bm25_decontamination": op7_bm25_decontamination,
     "op8_secret_scan": op8_secret_scan,
     "op9_warc_zstd": op9_warc_zstd,
 }

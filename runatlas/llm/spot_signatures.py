@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from runatlas.llm import jaccard_join
 from runatlas.llm.components import connected_components
 from runatlas.llm.scratch import Scratch, plain_columns
-from runatlas.llm.wordgrid import ALNUM, PLACES, find_words, hash_spans, lower_ascii, mix, text_slices
+from runatlas.llm.wordgrid import ALNUM, PLACES, find_words, hash_spans, lower_ascii, mix, sorted_unique, text_slices
 
 # Common words of English, German, French and Spanish.
 COMMON = (
@@ -83,7 +83,7 @@ def spot_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         order = np.argsort(text, kind="stable")
         signature, bounds = (signature[order] >> np.uint64(32)), np.searchsorted(text[order], np.arange(upto - at + 1))
         for d in range(upto - at):
-            out = np.unique(signature[bounds[d] : bounds[d + 1]])
+            out = sorted_unique(signature[bounds[d] : bounds[d + 1]])
             if not len(out) and offsets[d + 1] > offsets[d]:
                 digest = hashlib.sha256(data[offsets[d] : offsets[d + 1]].tobytes()).digest()
                 out = np.frombuffer(digest[:4], dtype=">u4").astype(np.uint64)

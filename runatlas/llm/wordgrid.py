@@ -35,6 +35,17 @@ def mix(values: np.ndarray) -> np.ndarray:
     return h
 
 
+def sorted_unique(values: np.ndarray) -> np.ndarray:
+    """Distinct values in order: sorting beats the hashing of ``numpy.unique`` here."""
+    out = np.sort(values)
+    if len(out) < 2:
+        return out
+    kept = np.empty(len(out), dtype=bool)
+    kept[0] = True
+    np.not_equal(out[1:], out[:-1], out=kept[1:])
+    return out[kept]
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base & (2**64 - 1), dtype=np.uint64)
     out[0] = 1
