@@ -6,8 +6,20 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from runatlas.llm import decontaminate, jaccard_join, language_mix, secret_scan, spot_signatures, token_counts, warc, word_bpe
+from pyspark.sql import functions as F
+
+from runatlas.llm import (
+    chat_format,
+    decontaminate,
+    jaccard_join,
+    language_mix,
+    license_scan,
+    secret_scan,
+    spot_signatures,
+    token_counts,
+    warc,
+    word_bpe,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +50,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), path)
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.format_conversations(_table(spark, sf_dir, "conversations"))
+
+
 def op7_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -50,15 +66,26 @@ def op9_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a folder for each source, language and range of ids."""
+    name = F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
+    folder = F.floor(F.col("doc_id") / 400).cast("string")
+    path = F.concat_ws("/", "source", "lang", folder, name)
+    files = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("file_id"), path.alias("path"), "text")
+    return license_scan.scan_licenses(files).withColumnRenamed("file_id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_mix": op1_language_mix,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_bpe_codec": op3_bpe_codec,
     "op4_spot_signatures": op4_spot_signatures,
     "op5_token_counts": op5_token_counts,
+    "op6_chat_format": op6_chat_format,
     "op7_bm25_decontamination": op7_bm25_decontamination,
     "op8_secret_scan": op8_secret_scan,
     "op9_warc_zstd": op9_warc_zstd,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE: dict[str, str] = {}
