@@ -79,10 +79,16 @@ def volume_per_minute(events: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("event_count"))
 
 
+def latest_labels(labels: DataFrame) -> DataFrame:
+    """One label per entry: that with the newest ``label_timestamp``, if there is such a column, else the largest."""
+    newest = ["label_timestamp", "label"] if "label_timestamp" in labels.columns else ["label"]
+    return labels.groupBy("stream_entry_id").agg(F.max(F.struct(*newest))["label"].alias("label"))
+
+
 def with_late_labels(events: DataFrame, labels: DataFrame) -> DataFrame:
-    """Fill missing truths from label rows ``(stream_entry_id, label)``."""
+    """Fill missing truths from label rows; every event stays one row, however many labels it has."""
     return (
-        events.join(labels.select("stream_entry_id", "label"), "stream_entry_id", "left")
+        events.join(latest_labels(labels), "stream_entry_id", "left")
         .withColumn("ground_truth", F.coalesce("ground_truth", "label"))
         .drop("label")
     )

@@ -558,17 +558,17 @@ def volume_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_times(monitoring.volume_per_minute(_events(spark, sf_dir)))
 
 
-@query(
-    "late_labels",
-    with_sql(
-        oracle.EVENTS,
-        """SELECT stream_entry_id, model_name, model_version, prediction,
+_LATE_LABELS = with_sql(
+    oracle.EVENTS,
+    """SELECT stream_entry_id, model_name, model_version, prediction,
   CASE WHEN model_name = 'error' AND stream_entry_id % 3 <> 0
     THEN TRY_CAST(regexp_extract(props, '"k":\\s*(\\d+)', 1) AS DOUBLE) / 100 ELSE ground_truth END AS ground_truth,
   latency_ms, event_timestamp
 FROM predictions JOIN events ON event_id = stream_entry_id""",
-    ),
 )
+
+
+@query("late_labels", _LATE_LABELS)
 def late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = adapter.late_labels(spark, sf_dir)
     return plain_times(monitoring.with_late_labels(_events(spark, sf_dir), labels))
@@ -925,13 +925,18 @@ def sample_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ---------------------------------------------------------------------------
 
 
-def _published(spark: SparkSession, sf_dir: str, repeats: bool = True) -> str:
-    """The driver's events as a log; with ``repeats`` a tenth is delivered twice."""
+def _published(spark: SparkSession, sf_dir: str) -> str:
+    """The driver's events as a log of many files in random order.
+
+    A tenth is delivered twice, and every fiftieth again with another date.
+    """
     path = scratch(spark, "event-log")
     events = _events(spark, sf_dir)
-    event_log.publish(events, path)
-    if repeats:
-        event_log.publish(events.filter(F.col("stream_entry_id") % 10 == 0), path)
+    event_log.publish(events.repartition(12, F.xxhash64("stream_entry_id")), path)
+    event_log.publish(events.filter(F.col("stream_entry_id") % 10 == 0), path)
+    moved = F.col("event_timestamp") + F.expr("INTERVAL 400 DAYS")
+    # Published last, so the first delivery is the one that is read first.
+    event_log.publish(events.filter(F.col("stream_entry_id") % 50 == 0).withColumn("event_timestamp", moved), path)
     return path
 
 
@@ -974,43 +979,56 @@ def stream_drift_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.drift_alerts(job.check(spark, last[0]), 0.05)
 
 
+def _ingested(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, metrics.VolumeJob, str]:
+    """The stored events and the partial results after an ingest in several micro-batches."""
+    log, root = _published(spark, sf_dir), scratch(spark, name)
+    job = metrics.VolumeJob(f"{root}/volume", compact_every=3)
+    _drained(
+        ingest(spark, log, f"{root}/table", f"{root}/bad", f"{root}/checkpoint", max_files=3, after_batch=job)
+    )
+    return read_predictions(spark, f"{root}/table"), job, root
+
+
 @query("stream_volume", _VOLUME)
 def stream_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Volume per minute kept up to date by a stream."""
-    log, root = _published(spark, sf_dir, repeats=False), scratch(spark, "volume")
-    session = metrics.stateful_session(spark)
-    counted = metrics.volume(metrics.valid_events(session, log))
-    _drained(metrics.write_updates(counted, f"{root}/out", f"{root}/checkpoint"))
-    return plain_times(metrics.latest_updates(spark, f"{root}/out", ["minute", "model_name"]))
+    """Volume per minute, added up from the partial results of several micro-batches."""
+    _, job, _ = _ingested(spark, sf_dir, "volume")
+    return plain_times(job.volume(spark))
 
 
-@query("stream_latency")
+@query(
+    "stream_latency",
+    with_sql(
+        oracle.EVENTS,
+        f""", starts AS (
+  SELECT *, to_timestamp(CAST(floor(epoch(event_timestamp) / 300) * 300 AS BIGINT) - k * 300)::TIMESTAMP AS window_start
+  FROM predictions, (SELECT unnest(range(12)) AS k))
+SELECT window_start, window_start + INTERVAL 60 MINUTES AS window_end, model_name, model_version, count(*) AS event_count,
+  {oracle.rnd('avg(latency_ms)', 6)} AS avg_latency_ms, {oracle.rnd('quantile_cont(latency_ms, 0.5)', 6)} AS p50_latency_ms,
+  {oracle.rnd('quantile_cont(latency_ms, 0.95)', 6)} AS p95_latency_ms
+FROM starts GROUP BY ALL""",
+    ),
+)
 def stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latency over sliding hours kept up to date by a stream."""
-    log, root = _published(spark, sf_dir, repeats=False), scratch(spark, "latency")
-    session = metrics.stateful_session(spark)
-    summary = metrics.latency(metrics.valid_events(session, log))
-    _drained(metrics.write_updates(summary, f"{root}/out", f"{root}/checkpoint"))
-    keys = ["window_start", "window_end", "model_name", "model_version"]
-    return plain_times(metrics.latest_updates(spark, f"{root}/out", keys))
+    """Latency over sliding hours after several micro-batches in random order."""
+    stored, job, _ = _ingested(spark, sf_dir, "latency")
+    return plain_times(_rounded_latency(metrics.sliding_latency(spark, job, stored)))
 
 
-@query("stream_late_labels")
+@query("stream_late_labels", _LATE_LABELS)
 def stream_late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events joined to the labels that follow them, as far as the watermark has passed."""
-    log, root = _published(spark, sf_dir, repeats=False), scratch(spark, "labels")
-    labels = adapter.late_labels(spark, sf_dir)
-    labels.withColumn("stream_entry_id", F.col("stream_entry_id").cast("string")).write.parquet(
-        f"{root}/labels"
+    """Stored events with the latest label of each; both came in several micro-batches, some labels twice."""
+    stored, _, root = _ingested(spark, sf_dir, "labels")
+    labels = adapter.late_labels(spark, sf_dir).withColumn("stream_entry_id", F.col("stream_entry_id").cast("string"))
+    early = labels.withColumns({"label": F.lit(-1.0), "label_timestamp": F.col("label_timestamp") - F.expr("INTERVAL 1 MINUTE")})
+    labels.unionByName(early.filter("cast(stream_entry_id AS BIGINT) % 2 = 0")).repartition(6).write.parquet(f"{root}/sent")
+    stream = (
+        spark.readStream.schema("stream_entry_id string, label double, label_timestamp timestamp")
+        .option("maxFilesPerTrigger", 2)
+        .parquet(f"{root}/sent")
     )
-    session = metrics.stateful_session(spark)
-    stream = session.readStream.schema(
-        "stream_entry_id string, label double, label_timestamp timestamp"
-    ).parquet(f"{root}/labels")
-    events = valid_rows(audit_events(event_log.stream_log(session, log)))
-    _drained(
-        metrics.write_appended(
-            metrics.join_labels(events, stream), f"{root}/out", f"{root}/checkpoint"
-        )
+    _drained(metrics.ingest_labels(spark, stream, f"{root}/labels", f"{root}/labels-checkpoint"))
+    labelled = monitoring.with_late_labels(stored, spark.read.parquet(f"{root}/labels"))
+    return plain_times(
+        labelled.select(F.col("stream_entry_id").cast("long").alias("stream_entry_id"), *_PREDICTION_COLUMNS.split(", ")[1:])
     )
-    return plain_times(spark.read.parquet(f"{root}/out"))

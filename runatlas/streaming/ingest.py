@@ -2,8 +2,9 @@
 
 The table is laid out as ``batch_id=N/event_date=D``. A replayed micro-batch
 overwrites its own folder, so a crash between write and checkpoint leaves no
-duplicate; an entry that was delivered before is found in the other folders of
-its own date, and only those dates are read.
+duplicate. An entry that was delivered before, on whatever date, is found in an
+index of ids beside the table, laid out by the hash of the id: a batch reads
+only the index folders its ids fall in, and never the table itself.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,22 +22,48 @@ from runatlas.schemas import EVENT_COLUMNS, PREDICTION_SCHEMA
 from runatlas.sources.event_log import stream_log
 
 _TABLE_SCHEMA = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in PREDICTION_SCHEMA.fields)}, batch_id bigint, event_date date"
+_INDEX_SCHEMA = "stream_entry_id string, bucket int, batch_id bigint"
+INDEX_BUCKETS = 64
+MAX_FILES = 1000  # new files of the log in one micro-batch, so a backlog is not one batch
 
 BatchHook = Callable[[DataFrame, int], None]
 
 
-def read_predictions(spark: SparkSession, table: str) -> DataFrame | None:
-    """The prediction table, or ``None`` before its first batch."""
+def read_if_there(spark: SparkSession, path: str, schema: str | None = None, base: str | None = None) -> DataFrame | None:
+    """The Parquet table at ``path``, or ``None`` if there is none."""
+    reader = spark.read.schema(schema) if schema else spark.read
     try:
-        return spark.read.schema(_TABLE_SCHEMA).parquet(table)
+        return (reader.option("basePath", base) if base else reader).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
 
 
+def read_predictions(spark: SparkSession, table: str) -> DataFrame | None:
+    """The prediction table, or ``None`` before its first batch."""
+    return read_if_there(spark, table, _TABLE_SCHEMA)
+
+
+def index_path(table: str) -> str:
+    return f"{table.rstrip('/')}-ids"
+
+
+def _id_bucket() -> Column:
+    return F.pmod(F.xxhash64("stream_entry_id"), F.lit(INDEX_BUCKETS)).cast("int")
+
+
+def _known_ids(spark: SparkSession, table: str, fresh: DataFrame, batch_id: int) -> DataFrame | None:
+    """Ids of other batches in the index folders that the rows of ``fresh`` fall in."""
+    index = read_if_there(spark, index_path(table), _INDEX_SCHEMA)
+    if index is None:
+        return None
+    touched = [r.bucket for r in fresh.select(_id_bucket().alias("bucket")).distinct().collect()]  # 64 at most
+    return index.filter(F.col("bucket").isin(touched) & (F.col("batch_id") != batch_id))
+
+
 def store_batch(batch: DataFrame, batch_id: int, table: str, quarantine: str) -> DataFrame:
-    """Write one micro-batch and return the rows that were new."""
+    """Write one micro-batch and return the rows that were new, read from the folder just written."""
     spark = batch.sparkSession
     judged = audit_events(batch).withColumn(
         "errors",
@@ -44,7 +71,7 @@ def store_batch(batch: DataFrame, batch_id: int, table: str, quarantine: str) ->
             F.col("errors")
         ),
     )
-    # The batch is read for the quarantine, for its dates and for the write.
+    # The batch is read for the quarantine, for its index folders and for the write.
     judged.persist()
     try:
         faulty = rejected_rows(judged).withColumn("validation_error", F.concat_ws("; ", "errors"))
@@ -53,21 +80,18 @@ def store_batch(batch: DataFrame, batch_id: int, table: str, quarantine: str) ->
         fresh = keep_first(valid_rows(judged), ["stream_entry_id"], order).withColumn(
             "event_date", F.to_date("event_timestamp")
         )
-        stored = read_predictions(spark, table)
-        if stored is not None:
-            dates = valid_rows(judged).select(F.to_date("event_timestamp").alias("d"))
-            first, last = dates.agg(F.min("d"), F.max("d")).first()
-            known = stored.filter(
-                (F.col("batch_id") != batch_id) & F.col("event_date").between(first, last)
-            )
+        known = _known_ids(spark, table, valid_rows(judged), batch_id)
+        if known is not None:
             fresh = missing_from(fresh, known, ["stream_entry_id"])
-        fresh.withColumn("ingested_at", F.current_timestamp()).write.mode("overwrite").partitionBy(
-            "event_date"
-        ).parquet(f"{table}/batch_id={batch_id}")
+        folder = f"{table}/batch_id={batch_id}"
+        fresh.withColumn("ingested_at", F.current_timestamp()).write.mode("overwrite").partitionBy("event_date").parquet(folder)
     finally:
         judged.unpersist()
-    written = read_predictions(spark, table)
-    return written.filter(F.col("batch_id") == batch_id)
+    written = read_if_there(spark, folder, _TABLE_SCHEMA, table)
+    # Each replay gives the same rows, so its index files replace those of the attempt before.
+    ids = written.select("stream_entry_id", _id_bucket().alias("bucket"), F.lit(batch_id).cast("bigint").alias("batch_id"))
+    ids.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch_id").parquet(index_path(table))
+    return written
 
 
 def ingest(
@@ -77,7 +101,7 @@ def ingest(
     quarantine: str,
     checkpoint: str,
     once: bool = True,
-    max_files: int | None = None,
+    max_files: int | None = MAX_FILES,
     after_batch: BatchHook | None = None,
 ) -> StreamingQuery:
     """Start the ingest: drain what is there (``once``) or poll every second.

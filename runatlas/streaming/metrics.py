@@ -1,117 +1,112 @@
-"""Streaming twins of the volume, latency and label queries."""
+"""Streaming twins of the volume, latency and label queries. No event is dropped for being late.
+
+Volume and mean latency are kept as mergeable partial results: every micro-batch adds, from the
+rows that the ingest found new, counts and sums per minute and model; readers add them up. Percentiles
+do not merge, so they are computed exactly from the stored events of the windows asked for.
+Labels are stored as they come and joined when read: of any age, the latest one counts.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from runatlas.operators.drift import MODEL
-from runatlas.operators.validate import audit_events, valid_rows
-from runatlas.sources.event_log import stream_log
+from runatlas.operators.quantiles import exact_quantiles
+from runatlas.streaming.ingest import read_if_there
 
-WATERMARK = "10 minutes"
+_KEYS = ("minute", *MODEL)
+COMPACT_EVERY = 50  # micro-batches whose partial results are merged into one table
 
 
-def stateful_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
-    """A session whose state is split to the cluster's width.
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever it is stored; nothing if it is not there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
-    The number of state partitions is fixed at a stream's first start, so it is
-    set here and not left to the session's shuffle default.
-    """
-    session = spark.newSession()
-    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    width = partitions or max(1, spark.sparkContext.defaultParallelism)
-    session.conf.set("spark.sql.shuffle.partitions", str(width))
-    return session
-
-
-def valid_events(spark: SparkSession, log: str, max_files: int | None = None) -> DataFrame:
-    """Well-formed events of the log, each entry once within the watermark."""
-    events = valid_rows(audit_events(stream_log(spark, log, max_files)))
-    return events.withWatermark("event_timestamp", WATERMARK).dropDuplicatesWithinWatermark(
-        ["stream_entry_id"]
-    )
 
+def _summed(partials: DataFrame) -> DataFrame:
+    return partials.groupBy(*_KEYS).agg(*[F.sum(c).alias(c) for c in ("event_count", "latency_sum")])
 
-def volume(events: DataFrame) -> DataFrame:
-    """Events per minute and model."""
-    grouped = events.groupBy(F.window("event_timestamp", "1 minute").alias("w"), "model_name")
-    return grouped.agg(F.count(F.lit(1)).alias("event_count")).select(
-        F.col("w.start").alias("minute"), "model_name", "event_count"
-    )
-
-
-def latency(events: DataFrame, length: str = "60 minutes", slide: str = "5 minutes") -> DataFrame:
-    """Latency per model over sliding windows; the percentiles are approximate."""
-    grouped = events.groupBy(F.window("event_timestamp", length, slide).alias("w"), *MODEL)
-    tails = F.percentile_approx("latency_ms", [0.5, 0.95], 10000)
-    return grouped.agg(
-        F.count(F.lit(1)).alias("event_count"),
-        F.avg("latency_ms").alias("avg_latency_ms"),
-        tails.alias("_tails"),
-    ).select(
-        F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
-        *MODEL,
-        "event_count",
-        "avg_latency_ms",
-        F.col("_tails")[0].alias("p50_latency_ms"),
-        F.col("_tails")[1].alias("p95_latency_ms"),
-    )
 
+class VolumeJob:
+    """Batch hook for the ingest: counts and latency sums per minute and model under ``root``.
 
-def join_labels(events: DataFrame, labels: DataFrame, within: str = "1 hour") -> DataFrame:
-    """Events with the label that follows within the given time, if any.
-
-    Both inputs are streams; ``labels`` has ``stream_entry_id``, ``label`` and
-    ``label_timestamp``. An event without label leaves the state once the
-    watermark has passed the time allowed.
+    A replayed batch overwrites its own partial results. Every ``compact_every`` batches those of all earlier
+    batches are merged into ``merged/upto=N``; they are removed one compaction later, so a reader that
+    began before still finds them.
     """
-    late = labels.select(
-        F.col("stream_entry_id").alias("_id"), "label", "label_timestamp"
-    ).withWatermark("label_timestamp", WATERMARK)
-    condition = (
-        (F.col("stream_entry_id") == F.col("_id"))
-        & (F.col("label_timestamp") >= F.col("event_timestamp"))
-        & (F.col("label_timestamp") <= F.col("event_timestamp") + F.expr(f"INTERVAL {within}"))
-    )
-    joined = events.withWatermark("event_timestamp", WATERMARK).join(late, condition, "left_outer")
-    return joined.withColumn("ground_truth", F.coalesce("ground_truth", "label")).drop(
-        "_id", "label", "label_timestamp"
-    )
 
-
-def write_appended(result: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Closed windows only, appended to Parquet files."""
-    return (
-        result.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    def __init__(self, root: str, compact_every: int = COMPACT_EVERY):
+        self.root = root
+        self.compact_every = compact_every
+
+    def __call__(self, fresh: DataFrame, batch_id: int) -> None:
+        spark = fresh.sparkSession
+        partial = fresh.groupBy(F.date_trunc("minute", "event_timestamp").alias("minute"), *MODEL).agg(
+            F.count(F.lit(1)).alias("event_count"), F.sum("latency_ms").alias("latency_sum")
+        )
+        partial.write.mode("overwrite").parquet(f"{self.root}/partial/batch_id={batch_id}")
+        if batch_id and batch_id % self.compact_every == 0:
+            self._compact(spark, batch_id - 1)
+
+    def _newest(self, spark: SparkSession) -> tuple[DataFrame | None, int]:
+        merged = read_if_there(spark, f"{self.root}/merged")
+        upto = merged.agg(F.max("upto")).first()[0] if merged is not None else None
+        return (None, -1) if upto is None else (merged.filter(F.col("upto") == upto), upto)
+
+    def partials(self, spark: SparkSession) -> DataFrame:
+        """Partial results that together count every event once."""
+        merged, upto = self._newest(spark)
+        later = spark.read.parquet(f"{self.root}/partial").filter(F.col("batch_id") > upto).drop("batch_id")
+        return later if merged is None else later.unionByName(merged.drop("upto"))
+
+    def _compact(self, spark: SparkSession, upto: int) -> None:
+        """Merge the partial results of all batches up to ``upto``, the last that is surely complete."""
+        merged, before = self._newest(spark)
+        if before >= upto:
+            return
+        rows = spark.read.parquet(f"{self.root}/partial").filter(F.col("batch_id").between(before + 1, upto)).drop("batch_id")
+        rows = rows if merged is None else rows.unionByName(merged.drop("upto"))
+        _summed(rows).write.mode("overwrite").parquet(f"{self.root}/merged/upto={upto}")
+        for old in range(max(0, before + 1 - self.compact_every), before + 1):
+            remove(spark, f"{self.root}/partial/batch_id={old}")
+
+    def volume(self, spark: SparkSession) -> DataFrame:
+        """Events per minute and model so far."""
+        return self.partials(spark).groupBy("minute", "model_name").agg(F.sum("event_count").alias("event_count"))
+
+    def means(self, spark: SparkSession, length: int = 60, slide: int = 5) -> DataFrame:
+        """Events and mean latency per model in sliding windows of ``length`` minutes."""
+        panes = self.partials(spark).withColumn("window_start", F.explode(window_starts(F.col("minute"), length, slide)))
+        total = panes.groupBy("window_start", *MODEL).agg(*[F.sum(c).alias(c) for c in ("event_count", "latency_sum")])
+        return total.select("window_start", *MODEL, "event_count", (F.col("latency_sum") / F.col("event_count")).alias("avg_latency_ms"))
+
+
+def window_starts(time: Column, length: int, slide: int) -> Column:
+    """Starts of all windows that hold a time; windows begin at multiples of ``slide`` minutes."""
+    last = F.floor(F.unix_seconds(time) / (60 * slide)) * 60 * slide
+    return F.transform(F.sequence(F.lit(0), F.lit(length // slide - 1)), lambda k: F.timestamp_seconds(last - k * 60 * slide))
+
+
+def sliding_latency(spark: SparkSession, job: VolumeJob, stored: DataFrame, length: int = 60, slide: int = 5) -> DataFrame:
+    """Latency per model over sliding windows: means from the partial results, exact percentiles from ``stored`` events."""
+    starts = F.explode(window_starts(F.col("event_timestamp"), length, slide)).alias("window_start")
+    keys = ["window_start", *MODEL]
+    tails = exact_quantiles(
+        stored.select(starts, *MODEL, "latency_ms"), keys, "latency_ms", {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95}
     )
+    end = F.timestamp_seconds(F.unix_seconds("window_start") + 60 * length).alias("window_end")
+    names = ("event_count", "avg_latency_ms", "p50_latency_ms", "p95_latency_ms")
+    return job.means(spark, length, slide).join(tails.drop("_count"), keys).select("window_start", end, *MODEL, *names)
 
 
-def write_updates(result: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Every change of a window as a row with its batch; readers take the latest."""
+def ingest_labels(spark: SparkSession, labels: DataFrame, table: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """Store a stream of labels ``(stream_entry_id, label, label_timestamp)`` as it comes."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return (
-        result.writeStream.outputMode("update")
-        .foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
+        batch.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
 
-def latest_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The last version of every row written by :func:`write_updates`."""
-    table = spark.read.parquet(path)
-    values = [c for c in table.columns if c not in (*keys, "batch_id")]
-    newest = F.max_by(F.struct(*values), "batch_id")
-    return table.groupBy(*keys).agg(newest.alias("_last")).select(*keys, "_last.*")
+    writer = labels.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 second")).start()
