@@ -164,7 +164,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     place = F.coalesce("doc_id", F.lit(-(2**63)))
     quantiles = F.percentile_approx(place, [i / parts for i in range(1, parts)] or [0.5], F.lit(20 * parts + 1000))
     low, cuts = docs.agg(F.min(place), quantiles).first()
-    bounds = sorted({low, *(cuts if parts > 1 else [])} - {None}) or [0]
+    bounds = sorted({low, *((cuts or []) if parts > 1 else [])} - {None}) or [0]
     bound = F.array(*[F.lit(b).cast("long") for b in bounds])
     n = len(bounds)
     k = F.size(F.filter(bound, lambda b: b <= place)) - 1
