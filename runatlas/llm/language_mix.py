@@ -3,8 +3,8 @@
 A document is a mixture of languages, and each of its words comes from one of them. A word's
 likelihood in a language is that of its byte trigrams (with a blank at either end).
 Expectation-maximisation estimates the proportions; the set of languages grows, by the
-proportions of the mixture of all, as long as the penalised log-likelihood rises. The
-prediction is the language with the largest proportion, the score that proportion.
+proportions of the mixture of all, as long as the penalised log-likelihood rises, from the
+single language with the highest likelihood on. The prediction is the language with the largest proportion, the score that proportion.
 
 Trigram counts are taken from all labelled documents given for learning, in one pass with
 partial sums in each task. The tables they make have a fixed size per language, and at most
@@ -105,51 +105,82 @@ def learn(labelled: DataFrame) -> Model:
     counts = np.full((BUCKETS, len(languages)), SMOOTHING)
     which = np.array([number[x] for x in table.column("lang").to_pylist()], dtype=np.int64)
     counts[table.column("bucket").to_numpy(), which] += table.column("n").to_numpy()
-    return Model(languages, np.log(counts / counts.sum(axis=0)).astype(np.float32))
+    return Model(languages, np.asfortranarray(np.log(counts / counts.sum(axis=0)), dtype=np.float32))
 
 
-def _mixture(likelihood: np.ndarray, bounds: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions of the allowed languages in each text, and the log-likelihood. ``likelihood``: words x languages."""
+def _mixture(likelihood: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Proportions of the languages in each text, and the log-likelihood. ``likelihood``: languages x words."""
     n_words = np.diff(bounds)
-    text_of = np.repeat(np.arange(len(n_words)), n_words)
-    share = allowed / allowed.sum(axis=1, keepdims=True)
+    share = np.full((len(likelihood), len(n_words)), 1.0 / len(likelihood))
     for step in range(ROUNDS + 1):
-        weighted = likelihood * share[text_of]
-        total = weighted.sum(axis=1)
+        weighted = np.repeat(share, n_words, axis=1)
+        weighted *= likelihood
+        total = np.maximum(weighted.sum(axis=0), 1e-300)
         if step == ROUNDS:
-            return share, np.add.reduceat(np.log(np.maximum(total, 1e-300)), bounds[:-1])
-        weighted /= np.maximum(total, 1e-300)[:, None]
-        share = np.add.reduceat(weighted, bounds[:-1], axis=0) / n_words[:, None]
+            return share, np.add.reduceat(np.log(total), bounds[:-1])
+        weighted /= total
+        share = np.add.reduceat(weighted, bounds[:-1], axis=1) / n_words
+
+
+def _select(logs: np.ndarray, bounds: np.ndarray, alone: np.ndarray) -> np.ndarray:
+    """Proportions (languages x texts) of the best set of languages of each text.
+
+    ``logs``: languages x words, the best of a word zero. ``alone``: log-likelihood of each single language. Larger
+    sets are tried where the mixture of all gains more on the best language than their least penalty.
+    """
+    n_words = np.diff(bounds)
+    share, value = _mixture(np.exp(logs), bounds)
+    single = alone.argmax(axis=0)
+    every = np.arange(len(n_words))
+    best, best_value = np.zeros_like(share), alone[single, every]
+    best[single, every] = 1.0
+    order = np.argsort(-share, axis=0, kind="stable")
+    growing = value - best_value > PENALTY * np.log(n_words + 1.0)
+    for size in range(2, min(MAX_SET, len(logs)) + 1):
+        texts = np.flatnonzero(growing)
+        if not len(texts):
+            break
+        words = np.flatnonzero(np.repeat(growing, n_words))
+        chosen = order[:size, texts]
+        picked = np.exp(logs[np.repeat(chosen, n_words[texts], axis=1), words])
+        found, value = _mixture(picked, np.r_[0, np.cumsum(n_words[texts])])
+        value = value - PENALTY * (size - 1) * np.log(n_words[texts] + 1.0)
+        better = value > best_value[texts]
+        growing[texts[~better]] = False
+        kept = texts[better]
+        placed = np.zeros((len(logs), len(kept)))
+        np.put_along_axis(placed, chosen[:, better], found[:, better], axis=0)
+        best[:, kept] = placed
+        best_value[kept] = value[better]
+    return best
 
 
 def infer(model: Model, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Proportions (texts x languages) and whether the text has words, for lower-case texts."""
     grams, first, words = word_trigrams(data, offsets)
-    n = len(offsets) - 1
-    shares = np.zeros((n, len(model.languages)))
+    n, n_languages = len(offsets) - 1, len(model.languages)
+    shares = np.zeros((n, n_languages))
     filled = np.flatnonzero(np.diff(words))
+    has_words = np.zeros(n, dtype=bool)
+    has_words[filled] = True
     if not len(filled):
-        return shares, np.zeros(n, dtype=bool)
-    logs = np.add.reduceat(model.log_likelihood[grams], first[:-1], axis=0).astype(np.float64)
-    # Only ratios count for the proportions; the best language of each word is set to one.
-    likelihood = np.exp(np.maximum(logs - logs.max(axis=1, keepdims=True), -80.0))
+        return shares, has_words
+    logs = np.stack([np.add.reduceat(model.log_likelihood[:, k][grams], first[:-1]) for k in range(n_languages)])
+    # Only ratios count for the proportions; the best language of each word is set to zero.
+    logs = np.maximum(logs - logs.max(axis=0), np.float32(-80.0))
     bounds = np.r_[words[filled], words[-1]]
     n_words = np.diff(bounds)
-    share, _ = _mixture(likelihood, bounds, np.ones((len(filled), len(model.languages))))
-    order = np.argsort(-share, axis=1, kind="stable")
-    best, best_value = share, np.full(len(filled), -np.inf)
-    growing = np.ones(len(filled), dtype=bool)
-    allowed = np.zeros_like(share)
-    for size in range(1, min(MAX_SET, len(model.languages)) + 1):
-        allowed[np.arange(len(filled)), order[:, size - 1]] = 1.0
-        found, value = _mixture(likelihood, bounds, allowed)
-        value = value - PENALTY * (size - 1) * np.log(n_words + 1.0)
-        growing &= value > best_value
-        best = np.where(growing[:, None], found, best)
-        best_value = np.where(growing, value, best_value)
-    shares[filled] = best
-    has_words = np.zeros(n, dtype=bool)
-    has_words[filled] = True
+    alone = np.add.reduceat(logs, bounds[:-1], axis=1, dtype=np.float64)
+    single = alone.argmax(axis=0)
+    # No set's likelihood is above that of the best language of every word, which is zero: where one language
+    # is nearer to it than the least penalty of a larger set, that language it is.
+    settled = -alone[single, np.arange(len(filled))] <= PENALTY * np.log(n_words + 1.0)
+    shares[filled[settled], single[settled]] = 1.0
+    rest = np.flatnonzero(~settled)
+    if len(rest):
+        picked = np.flatnonzero(np.repeat(~settled, n_words))
+        bounds = np.r_[0, np.cumsum(n_words[rest])]
+        shares[filled[rest]] = _select(logs[:, picked].astype(np.float64), bounds, alone[:, rest]).T
     return shares, has_words
 
 

@@ -47,13 +47,13 @@ def test_mixtures_are_found(spark):
 def test_expectation_maximisation_by_hand():
     draw = np.random.default_rng(0)
     likelihood, bounds = draw.random((30, 3)) + 0.01, np.array([0, 10, 30])
-    share, value = language_mix._mixture(likelihood, bounds, np.ones((2, 3)))
+    share, value = language_mix._mixture(likelihood.T.copy(), bounds)
     for d, (a, b) in enumerate([(0, 10), (10, 30)]):
         p = np.full(3, 1 / 3)
         for _ in range(language_mix.ROUNDS):
             w = likelihood[a:b] * p
             p = (w / w.sum(axis=1, keepdims=True)).mean(axis=0)
-        assert np.allclose(share[d], p) and np.isclose(value[d], np.log((likelihood[a:b] * p).sum(axis=1)).sum())
+        assert np.allclose(share[:, d], p) and np.isclose(value[d], np.log((likelihood[a:b] * p).sum(axis=1)).sum())
 
 
 def some_model():
