@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 _NUMBER = r"^\\s*[+-]?(\\d+\\.?\\d*([eE][+-]?\\d+)?|\\.\\d+([eE][+-]?\\d+)?|[iI]nf(inity)?|[nN]a[nN])\\s*$"
+_DATED = r"^\\s*\\d{4}-\\d{2}-\\d{2}"
 _PLAIN_NUMBER = r"^\\s*[+-]?\\d+(\\.\\d+)?\\s*$"
 
 
@@ -28,14 +29,14 @@ def to_int(raw: str, dtype: T.DataType) -> str:
 
 
 def to_timestamp(raw: str, dtype: T.DataType) -> str:
-    """A timestamp from ISO-8601 text or from a unix time in seconds or milliseconds."""
+    """A timestamp from ISO-8601 text with its full date, or from a unix time in seconds or milliseconds."""
     if not isinstance(dtype, T.StringType):
         return f"cast({raw} AS TIMESTAMP)"
     number = f"try_cast(trim({raw}) AS DOUBLE)"
     micros = f"{number} * if(abs({number}) > 2e10, 1e3, 1e6)"
     return (
         f"CASE WHEN {raw} RLIKE '{_PLAIN_NUMBER}' THEN timestamp_micros(try_cast({micros} AS BIGINT)) "
-        f"ELSE try_cast({raw} AS TIMESTAMP) END"
+        f"WHEN {raw} RLIKE '{_DATED}' THEN try_cast({raw} AS TIMESTAMP) END"
     )
 
 

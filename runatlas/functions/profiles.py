@@ -4,20 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Fixed values: (model_name, base_size_mb, base_accuracy).
+# Fixed values: (model_name, base_accuracy).
 MODEL_PROFILES = (
-    ("resnet18", 45.0, 0.90),
-    ("resnet50", 98.0, 0.94),
-    ("resnet101", 170.0, 0.95),
-    ("vit_base", 330.0, 0.96),
-    ("vit_large", 1150.0, 0.97),
-    ("bert_base", 420.0, 0.91),
-    ("bert_large", 1340.0, 0.93),
-    ("gpt2_small", 500.0, 0.88),
-    ("efficientnet_b0", 20.0, 0.89),
-    ("efficientnet_b7", 256.0, 0.95),
-    ("mobilenet_v3", 12.0, 0.85),
-    ("yolo_v8", 50.0, 0.92),
+    ("resnet18", 0.90),
+    ("resnet50", 0.94),
+    ("resnet101", 0.95),
+    ("vit_base", 0.96),
+    ("vit_large", 0.97),
+    ("bert_base", 0.91),
+    ("bert_large", 0.93),
+    ("gpt2_small", 0.88),
+    ("efficientnet_b0", 0.89),
+    ("efficientnet_b7", 0.95),
+    ("mobilenet_v3", 0.85),
+    ("yolo_v8", 0.92),
 )
 
 # Fixed values: (gpu, speed_factor, power_watts).
@@ -33,7 +33,7 @@ GPU_PROFILES = (
 
 def model_profiles(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
-        MODEL_PROFILES, "model_name string, base_size_mb double, base_accuracy double"
+        MODEL_PROFILES, "model_name string, base_accuracy double"
     )
 
 

@@ -17,18 +17,24 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _finite(value: Column, body: Callable[[Column], Column]) -> Column:
+    number = value.cast("double")
+    return F.when(F.abs(number) < 1e25, body(value.cast("decimal(38,12)")).cast("double")).otherwise(number)
+
+
 def half_up(value: Column, digits: int) -> Column:
     """Round half away from zero on the decimal value, not on its binary form.
 
     The value is first brought to 12 decimals, which removes the noise that
-    the order of a distributed sum leaves in the last bits.
+    the order of a distributed sum leaves in the last bits. Values that no
+    decimal holds (infinite, NaN, 1e25 and more) stay as they are.
     """
-    return F.round(value.cast("decimal(38,12)"), digits).cast("double")
+    return _finite(value, lambda v: F.round(v, digits))
 
 
 def settled(value: Column) -> Column:
     """The value at 12 decimals: equal averages compare as equal."""
-    return value.cast("decimal(38,12)").cast("double")
+    return _finite(value, lambda v: v)
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -16,11 +16,13 @@ from runatlas.functions.scalars import (
 
 
 def _with_gpu(df: DataFrame) -> DataFrame:
-    return df.join(F.broadcast(gpu_profiles(df.sparkSession)), "gpu")  # a fixed list
+    """The GPU's figures; a run on an unknown one keeps its row and gets null estimates."""
+    return df.join(F.broadcast(gpu_profiles(df.sparkSession)), "gpu", "left")  # a fixed list
 
 
 def _with_model(df: DataFrame) -> DataFrame:
-    return df.join(F.broadcast(model_profiles(df.sparkSession)), "model_name")  # a fixed list
+    """The model's figures; a run of an unknown one keeps its row and gets null estimates."""
+    return df.join(F.broadcast(model_profiles(df.sparkSession)), "model_name", "left")  # a fixed list
 
 
 def f1_consistency(df: DataFrame) -> DataFrame:
@@ -49,7 +51,8 @@ def time_residual(df: DataFrame) -> DataFrame:
 
 def accuracy_residual(df: DataFrame) -> DataFrame:
     """Adds the expected accuracy of successful runs and the distance from it."""
-    expected = expected_accuracy(F.col("base_accuracy"), F.col("epochs"), F.col("learning_rate"))
+    curve = expected_accuracy(F.col("base_accuracy"), F.col("epochs"), F.col("learning_rate"))
+    expected = F.when(F.col("base_accuracy").isNotNull(), curve)
     return (
         _with_model(df.filter(F.col("status") == "success"))
         .withColumn("expected_accuracy", expected)

@@ -29,10 +29,12 @@ def with_position(
     order: Sequence[Column | str],
     name: str,
     start: Column | int = 0,
+    first: int | None = None,
 ) -> DataFrame:
     """Number the rows 1, 2, … in the order (bucket, order), plus ``start``.
 
-    ``bucket`` must have at most 65,536 values: its sizes are broadcast.
+    ``bucket`` must have at most 65,536 values: its sizes are broadcast. With ``first``, only
+    that many rows are kept, and only the buckets that hold them are shuffled.
     """
     start = F.lit(start) if isinstance(start, int) else start
     bucketed = df.withColumn("_bucket", bucket)
@@ -43,11 +45,14 @@ def with_position(
         .select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     )
     inside = Window.partitionBy("_bucket").orderBy(*order)
-    return (
-        bucketed.join(F.broadcast(offsets), "_bucket")
-        .withColumn(name, (start + F.col("_offset") + F.row_number().over(inside)).cast("long"))
+    placed = bucketed.join(F.broadcast(offsets), "_bucket")
+    if first is not None:
+        placed = placed.filter(F.col("_offset") < first)
+    numbered = (
+        placed.withColumn(name, (start + F.col("_offset") + F.row_number().over(inside)).cast("long"))
         .drop("_bucket", "_offset")
     )
+    return numbered if first is None else numbered.filter(F.col(name) <= start + first)
 
 
 def with_rank(df: DataFrame, value: Column, name: str) -> DataFrame:
@@ -87,7 +92,5 @@ def sample_n(df: DataFrame, id_column: str, n: int, seed: int) -> DataFrame:
     """
     mixed = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_column).cast("string")))
     keyed = df.withColumn("_mix", mixed)
-    placed = with_position(
-        keyed, F.substring("_mix", 1, HASH_DIGITS), [F.col("_mix"), F.col(id_column)], "_place"
-    )
-    return placed.filter(F.col("_place") <= n).drop("_mix", "_place")
+    order = [F.col("_mix"), F.col(id_column)]
+    return with_position(keyed, F.substring("_mix", 1, HASH_DIGITS), order, "_place", first=n).drop("_mix", "_place")

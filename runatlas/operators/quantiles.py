@@ -30,7 +30,8 @@ def interpolate(by_rank: Column, place: Column) -> Column:
     """The value at a place, from a map of ranks to values."""
     low = F.element_at(by_rank, F.floor(place))
     high = F.element_at(by_rank, F.ceil(place))
-    return low + (high - low) * (place - F.floor(place))
+    # Equal neighbours may be infinite, and inf - inf is not a number.
+    return F.when(low == high, low).otherwise(low + (high - low) * (place - F.floor(place)))
 
 
 def _locate(counts: DataFrame, group: Sequence[str], order: str) -> DataFrame:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from runatlas.functions.coerce import to_double
 
 from runatlas.schemas import RECORD_COLUMNS
 
@@ -99,8 +102,8 @@ def runs_to_records(
     measured = status.isin("success", "failed")
 
     def number(param: str, default: float) -> Column:
-        raw = F.col(f"p_{param}")
-        return F.when(raw.isNull(), F.lit(float(default))).otherwise(raw.try_cast("double"))
+        raw = f"p_{param}"
+        return F.when(F.col(raw).isNull(), F.lit(float(default))).otherwise(F.expr(to_double(raw, T.StringType())))
 
     columns: dict[str, Column] = {
         "experiment_id": F.concat(F.lit("mlflow_"), F.substring("run_id", 1, 16)),

@@ -53,12 +53,16 @@ def audit(raw: DataFrame, fields: Sequence[Field] = RECORD_FIELDS) -> DataFrame:
     """Type every field and add ``errors``, one code per faulty field in field order.
 
     Raw columns may be text or already typed; missing optional columns count
-    as null. Other columns pass through.
+    as null. Other columns pass through; ``raw_record`` keeps the raw values of records.
 
     The typed columns come out of a generator. A filter on what follows stays
     above it; Spark would otherwise copy the whole expression of every column
     into the filter, and with many derived columns that grows out of hand.
     """
+    if fields is RECORD_FIELDS and "raw_record" not in raw.columns:
+        # What came in, nulls included, before any value is typed: a reject must show what was wrong.
+        given = [f.name for f in fields if f.name in raw.columns]
+        raw = raw.withColumn("raw_record", F.to_json(F.struct(*given), {"ignoreNullFields": "false"}))
     kinds = {f.name: f.dataType for f in raw.schema.fields}
     flags = {ABSENT, NOT_TEXT} & set(kinds)
     columns: list[str] = []

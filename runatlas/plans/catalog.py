@@ -229,6 +229,30 @@ def json_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_times(records(valid_rows(audit(read))))
 
 
+@query(
+    "json_list_source",
+    with_sql(
+        oracle.AUDITED,
+        _RECORD_SQL
+        + """valid QUALIFY row_number() OVER (PARTITION BY experiment_id
+  ORDER BY source_rank, l_suppkey % 4, l_partkey, l_suppkey, l_extendedprice) = 1""",
+    ),
+)
+def json_list_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several list files of two sources and an absent one; the first in input order stays of each id."""
+    path = scratch(spark, "raw-lists")
+    raw = adapter.raw_runs(spark, sf_dir)
+    place = ("l_partkey", "l_suppkey", "l_extendedprice")
+    record = F.to_json(F.struct(*[c for c in raw.columns if c not in (*place, "source_rank")]))
+    element = F.struct(*place, record.alias("json"))
+    files = raw.groupBy("source_rank", (F.col("l_suppkey") % 4).alias("file")).agg(F.array_sort(F.collect_list(element)).alias("rows"))
+    text = F.concat(F.lit("["), F.array_join(F.transform("rows", lambda r: r["json"]), ","), F.lit("]"))
+    files.select("source_rank", "file", text.alias("value")).write.partitionBy("source_rank", "file").text(path)
+    lists = [f"{path}/source_rank=0", f"{path}/source_rank=1", f"{path}/source_rank=2"]
+    read = json_records.read_sources(spark, lists[0], lists[1:], lines=False)
+    return plain_times(records(clean.deduplicate(valid_rows(audit(read)), json_records.input_order())))
+
+
 @query("csv_staging", with_sql(oracle.CLEAN, _RECORD_SQL + "clean"))
 def csv_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean records written as CSV and read back with their types."""
@@ -241,19 +265,18 @@ def csv_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     "rejects_sink",
     with_sql(
         oracle.AUDITED,
-        "SELECT experiment_id, framework, list_aggregate(errors, 'string_agg', '; ') AS validation_error "
-        "FROM audited WHERE len(errors) > 0",
+        "SELECT experiment_id, framework, learning_rate_text AS learning_rate, batch_size_text AS batch_size, "
+        "list_aggregate(errors, 'string_agg', '; ') AS validation_error FROM audited WHERE len(errors) > 0",
     ),
 )
 def rejects_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rejected records as JSON with their errors, read back."""
+    """Rejected records as JSON with their raw values and errors, read back."""
     path = scratch(spark, "rejects")
     json_records.write_rejects(rejected_rows(_audited(spark, sf_dir)), path)
-    raw = F.from_json("raw_record", "experiment_id string, framework string")
+    shown = ("experiment_id", "framework", "learning_rate", "batch_size")
+    raw = F.from_json("raw_record", ", ".join(f"{c} string" for c in shown))
     return spark.read.schema("raw_record string, validation_error string").json(path).select(
-        raw["experiment_id"].alias("experiment_id"),
-        raw["framework"].alias("framework"),
-        "validation_error",
+        *[raw[c].alias(c) for c in shown], "validation_error"
     )
 
 
@@ -850,7 +873,7 @@ _GPU_SQL = """, gpu_profiles(gpu, speed_factor, power_watts) AS (VALUES
         oracle.CLEAN,
         _GPU_SQL
         + f"""SELECT experiment_id, energy_consumption_kwh, {oracle.rnd('power_watts / 1000 * (training_time_sec / 3600)', 9)} AS estimated_kwh
-FROM clean JOIN gpu_profiles USING (gpu)""",
+FROM clean LEFT JOIN gpu_profiles USING (gpu)""",
     ),
 )
 def energy_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -867,7 +890,7 @@ def energy_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
         oracle.CLEAN,
         _GPU_SQL
         + f"""SELECT experiment_id, {oracle.rnd('expected', 6)} AS expected_time_sec, {oracle.rnd('training_time_sec / expected', 6)} AS time_ratio
-FROM (SELECT *, epochs * 45.0::DOUBLE * (64.0::DOUBLE / batch_size) / speed_factor AS expected FROM clean JOIN gpu_profiles USING (gpu))""",
+FROM (SELECT *, epochs * 45.0::DOUBLE * (64.0::DOUBLE / batch_size) / speed_factor AS expected FROM clean LEFT JOIN gpu_profiles USING (gpu))""",
     ),
 )
 def time_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -889,7 +912,7 @@ def time_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT experiment_id, {oracle.rnd('expected', 9)} AS expected_accuracy, {oracle.rnd('accuracy - expected', 9)} AS accuracy_residual
 FROM (SELECT *, least(greatest(base_accuracy * (1 - 1 / (1 + epochs / 20.0::DOUBLE))
     - CASE WHEN learning_rate > 0.02 THEN least(0.15::DOUBLE, (learning_rate - 0.02::DOUBLE) * 2) ELSE 0 END, 0.4::DOUBLE), 0.995::DOUBLE) AS expected
-  FROM clean JOIN model_profiles USING (model_name) WHERE status = 'success')""",
+  FROM clean LEFT JOIN model_profiles USING (model_name) WHERE status = 'success')""",
     ),
 )
 def accuracy_residual(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -129,9 +129,6 @@ def write_records(df: DataFrame, path: str) -> None:
 
 def write_rejects(rejected: DataFrame, path: str) -> None:
     """Each rejected record with its errors; written even if there are none."""
-    if "raw_record" not in rejected.columns:
-        fields = [f.name for f in RECORD_FIELDS]
-        rejected = rejected.withColumn("raw_record", F.to_json(F.struct(*fields)))
     rejected.select("raw_record", F.concat_ws("; ", "errors").alias("validation_error")).write.mode(
         "overwrite"
     ).json(path)

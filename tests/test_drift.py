@@ -30,19 +30,23 @@ def normal(mean, sd, n, seed):
     return [float(v) for v in np.random.default_rng(seed).normal(mean, sd, n)]
 
 
+def skewed(shape, n, seed):
+    return [float(v) for v in np.random.default_rng(seed).gamma(shape, 2.0, n)]
+
+
 CASES = {
-    "empty baseline": ([], [1.0, 2.0]),
-    "empty recent": ([1.0, 2.0], []),
-    "identical": (normal(0.3, 0.1, 200, 42), normal(0.3, 0.1, 200, 42)),
-    "constant": ([0.5] * 200, normal(0.5, 0.1, 200, 42)),
-    "small": (normal(0.3, 0.1, 40, 1), normal(0.3, 0.1, 40, 2)),
-    "outside": (normal(0.3, 0.1, 200, 3), [5.0] * 200),
-    "tied edges": ([0.1] * 90 + [0.2] * 60 + [0.3] * 50, [0.1] * 20 + [0.2] * 120 + [0.4] * 60),
-    "uneven": (normal(0.3, 0.1, 117, 4), normal(0.4, 0.2, 55, 5)),
+    "nothing before": ([], [4.0, 7.5, 9.0]),
+    "nothing after": ([4.0, 7.5, 9.0], []),
+    "same rows": (skewed(3.0, 260, 11), skewed(3.0, 260, 11)),
+    "one value before": ([7.0] * 150, skewed(3.0, 150, 12)),
+    "few rows": (skewed(2.0, 24, 13), skewed(2.0, 24, 14)),
+    "far away": (skewed(3.0, 180, 15), [-40.0] * 90 + [900.0] * 90),
+    "many ties": ([1.0] * 70 + [2.0] * 70 + [5.0] * 20, [1.0] * 10 + [2.0] * 90 + [6.0] * 33),
+    "unlike sizes": (skewed(4.0, 317, 16), skewed(5.0, 47, 17)),
 }
-for seed in range(5):
-    CASES[f"same {seed}"] = (normal(0.3, 0.1, 200, seed), normal(0.3, 0.1, 200, seed + 100))
-    CASES[f"shifted {seed}"] = (normal(0.3, 0.1, 200, seed), normal(0.75, 0.15, 200, seed + 100))
+for k in range(3):
+    CASES[f"alike {k}"] = (skewed(3.0, 400, 20 + k), skewed(3.0, 400, 40 + k))
+    CASES[f"moved {k}"] = (skewed(3.0, 400, 20 + k), skewed(9.0, 400, 60 + k))
 
 
 def test_window_psi(spark):
@@ -51,9 +55,9 @@ def test_window_psi(spark):
     found = {r.k: r.psi for r in drift.with_psi(df).collect()}
     for k, (b, r) in CASES.items():
         assert found[k] == pytest.approx(brute(b, r), abs=1e-9), k
-    assert found["identical"] < 0.01
-    assert found["constant"] == 0.0
-    assert all(found[f"same {s}"] < 0.25 < found[f"shifted {s}"] for s in range(5))
+    assert found["same rows"] == pytest.approx(0.0, abs=1e-9)
+    assert found["one value before"] == 0.0
+    assert all(found[f"alike {k}"] < 0.2 < found[f"moved {k}"] for k in range(3))
 
 
 def test_sample_psi_equals_window_psi(spark):

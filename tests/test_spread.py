@@ -93,3 +93,27 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
 def test_is_small(spark):
     assert is_small(spark.range(10), 10)
     assert not is_small(spark.range(11), 10)
+
+
+def test_infinite_values_keep_their_median_and_their_average(spark):
+    from pyspark.sql import functions as F
+
+    from runatlas.functions.scalars import half_up, settled
+
+    df = spark.createDataFrame([("a", float("inf"))] * 3 + [("b", 1.0), ("b", float("inf"))], "k string, v double")
+    medians = {r.k: r.m for r in exact_quantiles(df, ["k"], "v", {"m": 0.5}).collect()}
+    assert medians == {"a": float("inf"), "b": float("inf")}
+    row = df.agg(half_up(F.avg("v"), 2).alias("h"), settled(F.max("v")).alias("s")).first()
+    assert row.h == row.s == float("inf")
+
+
+def test_estimates_keep_runs_on_unknown_hardware(spark):
+    from runatlas.operators import enrich
+
+    df = spark.createDataFrame(
+        [("none", "my_model", "success", 10, 32, 0.01, 60.0, 0.5), ("NVIDIA T4", "gpt2_small", "success", 10, 32, 0.01, 60.0, 0.5)],
+        "gpu string, model_name string, status string, epochs int, batch_size int, learning_rate double, training_time_sec double, accuracy double",
+    )
+    for made, column in ((enrich.energy_estimate, "estimated_kwh"), (enrich.time_residual, "time_ratio"), (enrich.accuracy_residual, "accuracy_residual")):
+        rows = {r.gpu: r[column] for r in made(df).collect()}
+        assert len(rows) == 2 and rows["none"] is None and rows["NVIDIA T4"] is not None

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from runatlas.operators import drift, monitoring
 from runatlas.sources import event_log
+from runatlas.streaming import metrics
 from runatlas.streaming.drift_job import DriftJob
 from runatlas.streaming.ingest import ingest, read_predictions, store_batch
 
@@ -99,3 +100,54 @@ def test_labels_fill_only_gaps(spark, events):
     labels = spark.createDataFrame([("0", 0.25), ("1", 0.5)], "stream_entry_id string, label double")
     rows = {r.stream_entry_id: r.ground_truth for r in monitoring.with_late_labels(events(3), labels).collect()}
     assert rows == {"0": 1.0, "1": 0.5, "2": None}
+
+
+def test_an_id_is_stored_once_whatever_its_date(spark, events, tmp_path):
+    table, bad = str(tmp_path / "t"), str(tmp_path / "b")
+    raw = events(6).select(*[F.col(c).cast("string").alias(c) for c in events(1).columns])
+    later = raw.withColumn("event_timestamp", F.lit("2031-01-01 00:00:00"))
+    assert store_batch(raw, 0, table, bad).count() == 6
+    assert store_batch(later, 1, table, bad).count() == 0
+    assert store_batch(later.unionByName(raw.limit(0)), 2, table, bad).count() == 0
+    assert read_predictions(spark, table).count() == 6
+
+
+def test_volume_counts_every_event_in_any_order(spark, events, tmp_path):
+    log = str(tmp_path / "log")
+    everything = events(60)
+    for part in (3, 0, 2, 1):  # late and early events in turn, one file each
+        event_log.publish(everything.filter(F.col("stream_entry_id") % 4 == part).coalesce(1), log)
+    job = metrics.VolumeJob(str(tmp_path / "volume"), compact_every=2)
+    drain(spark, tmp_path, max_files=1, after_batch=job)
+    got = {tuple(r) for r in job.volume(spark).collect()}
+    assert got == {tuple(r) for r in monitoring.volume_per_minute(everything).collect()} and len(got) == 60
+    windows = metrics.sliding_latency(spark, job, read_predictions(spark, str(tmp_path / "table"))).collect()
+    assert sum(r.event_count for r in windows) == 60 * 12
+
+
+def test_replayed_partial_results_replace_themselves(spark, events, tmp_path):
+    job = metrics.VolumeJob(str(tmp_path / "volume"), compact_every=2)
+    for batch, first in enumerate((0, 10, 20, 30, 40)):
+        for _ in range(2):
+            job(events(10, first=first), batch)
+    assert sum(r.event_count for r in job.volume(spark).collect()) == 50
+
+
+def test_continuous_ingest_takes_what_comes_later(spark, events, tmp_path):
+    log = str(tmp_path / "log")
+    event_log.publish(events(4), log)
+    started = ingest(spark, log, str(tmp_path / "table"), str(tmp_path / "bad"), str(tmp_path / "cp"), once=False)
+    try:
+        started.processAllAvailable()
+        event_log.publish(events(3, first=50), log)
+        started.processAllAvailable()
+        assert read_predictions(spark, str(tmp_path / "table")).count() == 7
+    finally:
+        started.stop()
+
+
+def test_the_latest_label_counts_once(spark, events):
+    rows = [("1", 0.5, "2024-01-01 00:00:00"), ("1", 0.75, "2024-01-03 00:00:00"), ("1", 0.25, "2024-01-02 00:00:00")]
+    labels = spark.createDataFrame(rows, "stream_entry_id string, label double, t string").withColumn("label_timestamp", F.to_timestamp("t"))
+    found = monitoring.with_late_labels(events(3), labels.drop("t")).collect()
+    assert len(found) == 3 and {r.stream_entry_id: r.ground_truth for r in found}["1"] == 0.75

@@ -52,6 +52,10 @@ def errors_of(spark, tmp_path, rows):
         ({"source": "other"}, ["source:enum"]),
         ({"timestamp": 1714557600}, []),
         ({"timestamp": "yesterday"}, ["timestamp:type"]),
+        ({"timestamp": "10:00:00"}, ["timestamp:type"]),
+        ({"timestamp": "T10:00:00"}, ["timestamp:type"]),
+        ({"timestamp": "2024-05"}, ["timestamp:type"]),
+        ({"timestamp": "2024-05-01"}, []),
         ({"unknown_field": 1}, []),
     ],
 )
@@ -74,7 +78,7 @@ def test_no_record_is_lost(spark, tmp_path, record):
     rejected = rejected_rows(audited)
     assert rejected.count() == 4
     ids = sorted(r.experiment_id for r in reject_report(rejected).collect())
-    assert ids == ["UNKNOWN", "UNKNOWN", "UNKNOWN", "exp_00001"]
+    assert ids == ["UNKNOWN", "UNKNOWN", "UNKNOWN", "run-7f3a"]
     write_rejects(rejected, str(tmp_path / "rejects"))
     back = spark.read.json(str(tmp_path / "rejects")).collect()
     assert "{broken" in {r.raw_record for r in back}
@@ -138,3 +142,13 @@ def test_filter_stays_above_the_typed_columns(spark, record):
     raw = spark.createDataFrame([record()]).withColumn("rank", F.lit(1))
     plan = valid_rows(audit(raw))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Filter") < plan.index("Generate")
+
+
+def test_typed_rejects_keep_their_raw_values(spark, tmp_path):
+    raw = spark.createDataFrame([("a", "n/a", None), ("b", "0.1", "16.5")], "experiment_id string, learning_rate string, batch_size string")
+    write_rejects(rejected_rows(audit(raw)), str(tmp_path / "rejects"))
+    kept = [json.loads(r.raw_record) for r in spark.read.json(str(tmp_path / "rejects")).collect()]
+    assert sorted(kept, key=str) == [
+        {"experiment_id": "a", "learning_rate": "n/a", "batch_size": None},
+        {"experiment_id": "b", "learning_rate": "0.1", "batch_size": "16.5"},
+    ]
