@@ -88,4 +88,30 @@ QUERIES: dict[str, Query] = {
     "op10_license_scan": op10_license_scan,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_ngram_jaccard_join": """WITH RECURSIVE
+split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+  FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, list_aggregate(list_slice(words, i, i + 4), 'string_agg', ' ') AS s
+  FROM split, LATERAL (SELECT unnest(range(1, greatest(len(words) - 3, 2))) AS i) WHERE len(words) > 0),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY ALL),
+link AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN size x ON x.doc_id = a.doc_id JOIN size y ON y.doc_id = b.doc_id
+  GROUP BY ALL HAVING 100 * count(*) >= 80 * (any_value(x.n) + any_value(y.n) - count(*))),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.other)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN size USING (doc_id) GROUP BY doc_id""",
+    "op9_warc_zstd": """WITH page AS (
+  SELECT page_id, coalesce(html, '') AS payload,
+    CASE WHEN strlen(coalesce(html, '')) >= 1000 THEN max(page_id) OVER (PARTITION BY html) ELSE page_id END AS head
+  FROM pages)
+SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS payload_digest,
+  CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> head THEN head END AS refers_to
+FROM page""",
+}
