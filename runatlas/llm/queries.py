@@ -38,7 +38,7 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    return word_bpe.encode_documents(_table(spark, sf_dir, "documents"), path, keep=False)
+    return word_bpe.encode_documents(_table(spark, sf_dir, "documents"), path, keep=())
 
 
 def op4_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,7 +41,7 @@ OVERLAP = 512
 MARGIN = 16
 LIMIT = 1024
 
-CACHE_WORDS = 400_000  # per generation; an entry takes about 120 bytes
+CACHE_WORDS = 300_000  # per generation; an entry takes about 120 bytes
 
 # Fixed value of the tokenizer's file format: the pattern of its words.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 
 from runatlas.llm.scratch import let_workers_import, plain_columns
 
-CACHE_PARTS = 350_000  # per generation; an entry takes about 200 bytes
+CACHE_PARTS = 200_000  # per generation; an entry takes about 200 bytes
 
 # Fixed values of the tokenizer's file format: word pattern and printable stand-ins of bytes.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
@@ -163,8 +163,8 @@ def _digest(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8")).hexdigest()
 
 
-def encode_documents(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", keep: bool = True) -> DataFrame:
-    """Per row: ``doc_id``, ``n_tokens``, digests of ids and decoded text; with ``keep`` also ``ids`` and ``decoded``."""
+def encode_documents(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
+    """Per row: ``doc_id``, ``n_tokens``, digests of ids and decoded text, and the ``ids`` and ``decoded`` text as far as ``keep`` names them."""
     let_workers_import(docs.sparkSession)
 
     def run(batches):
@@ -180,12 +180,14 @@ def encode_documents(docs: DataFrame, path: str, id_column: str = "doc_id", text
                     "ids_sha256": pa.array([_digest(ids) for ids, _ in rows], pa.string()),
                     "decoded_sha256": pa.array([_digest(text) for _, text in rows], pa.string()),
                 }
-                if keep:
+                if "ids" in keep:
                     out["ids"] = pa.array([[int(i) for i in ids.split()] for ids, _ in rows], pa.list_(pa.int32()))
+                if "decoded" in keep:
                     out["decoded"] = pa.array([text for _, text in rows], pa.string())
                 yield pa.RecordBatch.from_pydict(out)
 
     docs = plain_columns(docs, doc_id=id_column, text=text_column)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    more = ", ids array<int>, decoded string" if keep else ""
+    kinds = {"ids": "array<int>", "decoded": "string"}
+    more = "".join(f", {name} {kinds[name]}" for name in kinds if name in keep)
     return docs.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")
