@@ -14,13 +14,12 @@ SALTS = 256
 def first_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int) -> DataFrame:
     """The first ``n`` rows of every key in the given order.
 
-    Spark cuts each key to ``n`` rows inside every map task before it
-    shuffles, so a hot key sends at most ``n`` rows per task. Spark leaves
-    that cut out for a large ``n``; a salted first round then takes its place.
+    For one row, Spark cuts each key inside every map task before it shuffles. For more, a salted round
+    comes first: each of its tasks cuts a part of a key to ``n`` rows, so the last
+    one takes ``SALTS * n`` rows of a key however many map tasks there were.
     """
     rank = F.row_number()
-    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if n > limit:
+    if n > 1:
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order_inputs(df)), F.lit(SALTS)))
         within = Window.partitionBy(*keys, "_salt").orderBy(*order)
         df = salted.withColumn("_rn", rank.over(within)).filter(F.col("_rn") <= n).drop("_rn", "_salt")

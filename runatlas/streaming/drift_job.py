@@ -15,6 +15,7 @@ from runatlas.functions.scalars import half_up
 from runatlas.operators.alerts import drift_alerts
 from runatlas.operators.drift import MODEL, THRESHOLD, WINDOW, with_psi
 from runatlas.operators.keyed import first_n_per_key
+from runatlas.streaming.metrics import remove
 
 _EVENT = ("event_timestamp", "stream_entry_id", "prediction")
 
@@ -56,6 +57,8 @@ class DriftJob:
         drift_alerts(results, self.threshold).write.mode("overwrite").parquet(
             f"{self.alerts_path()}/batch_id={batch_id}"
         )
+        if batch_id > 1:  # a replay reads the state of the batch before; older ones are done with
+            remove(spark, self.state_path(batch_id - 2))
 
     def seed(self, events: DataFrame, batch_id: int) -> None:
         """Build the state after ``batch_id`` from all events so far, for a stream already running."""
