@@ -13,8 +13,9 @@ text: of the item's runs of five words, the part found in the document must be a
 for the question (runs that begin before the answer) and the answer (runs that reach into it: the last
 sentence, or the last quarter where that is no less than one word and at most half).
 
-The index is broadcast in shards of bounded size; a larger benchmark is looked up shard by shard, each
-with statistics of its own.
+The index is broadcast in shards of bounded size; a larger benchmark is looked up shard by shard. Document
+frequencies, unit count and mean length are those of all items in every shard, so shards do not change
+a score. Equal items are one entry of the index, with the number of their copies.
 
 Cases: null or empty items match nothing, as do null or empty documents. An item of fewer than five words is
 one run. Repeated documents and items give repeated rows. Words are runs of letters and digits, in lower case.
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runatlas.llm.scratch import let_workers_import, plain_columns
+from runatlas.llm.scratch import Scratch, let_workers_import, plain_columns
 from runatlas.llm.wordgrid import ALNUM, find_words, hash_spans, lower_ascii, sorted_unique, text_slices
 
 UNIT = 64
@@ -65,6 +67,7 @@ class Item:
     item_id: int
     words: list[int]
     answer: int
+    copies: int = 1
 
     def runs(self) -> tuple[int, list[tuple[int, ...]], list[bool], list[bool]]:
         """Run length; the runs; which belong to the question; which to the answer."""
@@ -85,32 +88,53 @@ class Index:
     block_max: np.ndarray | None = None  # terms x blocks
 
 
-def build_index(rows: list[tuple[int, str]]) -> Index:
+@dataclass
+class Statistics:
+    """Of the units of a whole benchmark; ``frequency`` may be that of some terms only."""
+
+    units: int
+    words: int
+    frequency: Mapping[int, int]
+
+
+def units_of(words: np.ndarray) -> list[Counter]:
+    return [Counter(piece.tolist()) for piece in np.array_split(words, math.ceil(len(words) / UNIT))] if len(words) else []
+
+
+def build_index(rows: list[tuple], statistics: Statistics | None = None) -> Index:
+    """The index of ``(item_id, text)`` or ``(item_id, text, copies)``, by default with statistics of these items."""
     items, units, unit_item = [], [], []
-    for item_id, text in rows:
+    for item_id, text, *copies in rows:
         words, ends = word_list(text or "")
         if not len(words):
             continue
-        items.append(Item(item_id, words.tolist(), answer_start(ends)))
-        pieces = math.ceil(len(words) / UNIT)
-        for piece in np.array_split(words, pieces):
-            units.append(Counter(piece.tolist()))
+        items.append(Item(item_id, words.tolist(), answer_start(ends), *copies))
+        for unit in units_of(words):
+            units.append(unit)
             unit_item.append(len(items) - 1)
     index = Index(items, unit_item)
     if not units:
         return index
-    frequency = Counter(t for u in units for t in u)
-    mean = sum(sum(u.values()) for u in units) / len(units)
-    lists: dict[int, list[tuple[int, float]]] = {t: [] for t in frequency}
+    if statistics is None:
+        frequency: Counter = Counter()
+        total = length = 0
+        for unit, number in zip(units, unit_item, strict=True):
+            copies = items[number].copies
+            total, length = total + copies, length + copies * sum(unit.values())
+            for t in unit:
+                frequency[t] += copies
+        statistics = Statistics(total, length, frequency)
+    frequency, mean = statistics.frequency, statistics.words / statistics.units
+    lists: dict[int, list[tuple[int, float]]] = {}
     for n, unit in enumerate(units):
         length = K1 * (1 - B + B * sum(unit.values()) / mean)
         weight = {
-            t: math.log(1 + (len(units) - frequency[t] + 0.5) / (frequency[t] + 0.5)) * tf * (K1 + 1) / (tf + length)
+            t: math.log(1 + (statistics.units - frequency[t] + 0.5) / (frequency[t] + 0.5)) * tf * (K1 + 1) / (tf + length)
             for t, tf in unit.items()
         }
         whole = sum(weight.values())
         for t, w in weight.items():
-            lists[t].append((n, w / whole))
+            lists.setdefault(t, []).append((n, w / whole))
     index.terms = np.array(sorted(lists), dtype=np.uint64)
     index.hint = np.zeros(1 << HINT_BITS, dtype=bool)
     index.hint[(index.terms & np.uint64((1 << HINT_BITS) - 1)).astype(np.int64)] = True
@@ -144,7 +168,7 @@ def retrieve(index: Index, terms: list[int], threshold: float) -> list[tuple[int
         block = unit // BLOCK
         if sum(float(c[3][block]) for c in cursors[: pivot + 1]) >= least:
             if cursors[0][0][cursors[0][4]] == unit:
-                score = sum(c[1][c[4]] for c in cursors[: pivot + 1])
+                score = math.fsum(c[1][c[4]] for c in cursors[: pivot + 1])  # the same in any order
                 if score >= least:
                     out.append((unit, score))
                 target = unit + 1
@@ -229,18 +253,48 @@ def _search(shared, threshold: float, least: float):
                     item = index.items[number]
                     question, answer = overlap(item, listed[d])
                     if question >= least and answer >= least:
-                        rows.append((at + d, item.item_id, min(score, 1.0), question, answer))
+                        rows.append((at + d, item.item_id, item.copies, min(score, 1.0), question, answer))
             if rows:
                 row, *values = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(pa.array(row)), pa.array(values[0], pa.int64())]
-                    + [pa.array(v, pa.float64()) for v in values[1:]],
-                    ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"],
+                    [batch.column("doc_id").take(pa.array(row)), *[pa.array(v, pa.int64()) for v in values[:2]]]
+                    + [pa.array(v, pa.float64()) for v in values[2:]],
+                    ["doc_id", "item_id", "copies", "score", "question_overlap", "answer_overlap"],
                 )
 
     return run
 
 
+def _term_counts(batches):
+    """Units that hold each term, per shard; in the row without a term all units and words."""
+    for batch in batches:
+        units, words = Counter(), Counter()
+        for shard, text, copies in zip(*[batch.column(c).to_pylist() for c in ("shard", "text", "copies")], strict=True):
+            for unit in units_of(word_list(text)[0]):
+                units[shard, None] += copies
+                words[shard, None] += copies * sum(unit.values())
+                for t in unit:
+                    units[shard, t] += copies
+        yield pa.RecordBatch.from_pydict(
+            {
+                "shard": pa.array([s for s, _ in units], pa.int64()),
+                "term": pa.array([None if t is None else t - (t >> 63 << 64) for _, t in units], pa.int64()),
+                "units": pa.array(units.values(), pa.int64()),
+                "words": pa.array([words[k] for k in units], pa.int64()),
+            }
+        )
+
+
+def _statistics(items: DataFrame, scratch: Scratch) -> tuple[int, int, DataFrame]:
+    """Units and words of all items, and of each shard's terms ``(shard, term, units)`` the units of all items that hold it."""
+    counted = items.mapInArrow(_term_counts, "shard long, term long, units long, words long")
+    counted = counted.groupBy("shard", "term").agg(F.sum("units").alias("units"), F.sum("words").alias("words"))
+    counted = scratch.save(counted, "counted")
+    units, words = counted.filter("term is null").agg(F.sum("units"), F.sum("words")).first()
+    of_all = counted.filter("term is not null").groupBy("term").agg(F.sum("units").alias("units"))
+    return units or 0, words or 0, scratch.save(counted.select("shard", "term").join(of_all, "term"), "frequency")
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -256,17 +310,29 @@ def find_leaks(
     let_workers_import(spark)
     docs = plain_columns(docs, doc_id=id_column, text=text_column)
     items = plain_columns(benchmark, item_id=item_column, text=item_text_column).filter("text is not null and text <> ''")
-    items = items.withColumn("item_id", F.col("item_id").cast("long"))
-    n, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    scratch = Scratch(spark, "decontaminate")
+    items = items.groupBy(F.col("item_id").cast("long").alias("item_id"), "text").agg(F.count("*").alias("copies"))
+    items = scratch.save(items, "items")
+    n, size, most = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.max("copies")).first()
     shards = max(1, -(-n // SHARD_ITEMS), -(-size // SHARD_BYTES))
+    items = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)))
+    units, words, frequency = _statistics(items, scratch) if shards > 1 else (0, 0, None)  # one shard counts its own
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, item_id long, score double, question_overlap double, answer_overlap double"
+    schema = f"doc_id {kind}, item_id long, copies long, score double, question_overlap double, answer_overlap double"
     out = None
     for shard in range(shards):
-        held = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard).orderBy("item_id", "text").collect()
-        index = build_index([tuple(r) for r in held])
+        held = items.filter(F.col("shard") == shard).orderBy("item_id", "text").select("item_id", "text", "copies").collect()
+        statistics = None
+        if shards > 1:
+            terms = frequency.filter(F.col("shard") == shard).select("term", "units").collect()
+            statistics = Statistics(units, words, {r["term"] % (1 << 64): r["units"] for r in terms})
+        index = build_index([tuple(r) for r in held], statistics)
         if not index.items:
             continue
         found = docs.mapInArrow(_search(spark.sparkContext.broadcast(index), threshold, least), schema)
         out = found if out is None else out.union(found)
-    return out if out is not None else spark.createDataFrame([], schema)
+    if out is None:
+        return spark.createDataFrame([], schema).drop("copies")
+    if most > 1:
+        out = out.withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return out.drop("copies")

@@ -7,8 +7,8 @@ proportions of the mixture of all, as long as the penalised log-likelihood rises
 single language with the highest likelihood on. The prediction is the language with the largest proportion, the score that proportion.
 
 Trigram counts are taken from all labelled documents given for learning, in one pass with
-partial sums in each task. The tables they make have a fixed size per language, and at most
-``MAX_LANGUAGES`` languages (those with most bytes) are learned: that bounds the broadcast.
+partial sums in each task. The tables they make have a fixed size per language; every language is learned. They are
+broadcast in shards of ``SHARD_LANGUAGES`` languages, and with more languages texts are taken in smaller slices.
 
 Cases: ``und`` with score 0 for null text, text without a letter, and where nothing was learned. Rows
 with a null label teach nothing. Repeated rows count as often as they stand. One row in, one row out.
@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from runatlas.llm.scratch import let_workers_import, plain_columns
+from runatlas.llm.scratch import Scratch, let_workers_import, plain_columns
 from runatlas.llm.wordgrid import byte_table, find_words, text_slices
 
 BUCKETS = 1 << 15  # hashed trigrams per language
-MAX_LANGUAGES = 64
+SHARD_LANGUAGES = 64  # of one broadcast table: 8 MB
 SMOOTHING = 0.5
 ROUNDS = 12  # of expectation-maximisation
 MAX_SET = 3  # languages of a document, at most
@@ -44,7 +44,14 @@ LETTERS = byte_table(bytes([*range(65, 91), *range(97, 123), *range(128, 256)]))
 @dataclass
 class Model:
     languages: list[str]
-    log_likelihood: np.ndarray  # BUCKETS x languages
+    tables: list[np.ndarray]  # each BUCKETS x the next SHARD_LANGUAGES languages
+
+    def log_likelihood(self, language: int) -> np.ndarray:
+        return self.tables[language // SHARD_LANGUAGES][:, language % SHARD_LANGUAGES]
+
+    def slice_bytes(self) -> int:
+        """Bytes of a slice of texts: its words x languages take the same room with any number of languages."""
+        return SLICE_BYTES * SHARD_LANGUAGES // max(SHARD_LANGUAGES, len(self.languages))
 
 
 def word_trigrams(data: np.ndarray, offsets: np.ndarray):
@@ -98,14 +105,18 @@ def learn(labelled: DataFrame) -> Model:
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
     )
-    most = counted.groupBy("lang").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "lang").limit(MAX_LANGUAGES)
-    table = counted.join(F.broadcast(most.select("lang")), "lang", "left_semi").toArrow()
-    languages = sorted(set(table.column("lang").to_pylist()))
-    number = {language: i for i, language in enumerate(languages)}
-    counts = np.full((BUCKETS, len(languages)), SMOOTHING)
-    which = np.array([number[x] for x in table.column("lang").to_pylist()], dtype=np.int64)
-    counts[table.column("bucket").to_numpy(), which] += table.column("n").to_numpy()
-    return Model(languages, np.asfortranarray(np.log(counts / counts.sum(axis=0)), dtype=np.float32))
+    counted = Scratch(labelled.sparkSession, "languages").save(counted, "counted")
+    languages = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
+    tables = []
+    for at in range(0, len(languages), SHARD_LANGUAGES):
+        part = languages[at : at + SHARD_LANGUAGES]
+        table = counted.filter(F.col("lang").isin(part)).toArrow()
+        number = {language: i for i, language in enumerate(part)}
+        counts = np.full((BUCKETS, len(part)), SMOOTHING)
+        which = np.array([number[x] for x in table.column("lang").to_pylist()], dtype=np.int64)
+        counts[table.column("bucket").to_numpy(), which] += table.column("n").to_numpy()
+        tables.append(np.asfortranarray(np.log(counts / counts.sum(axis=0)), dtype=np.float32))
+    return Model(languages, tables)
 
 
 def _mixture(likelihood: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,7 +176,7 @@ def infer(model: Model, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarr
     has_words[filled] = True
     if not len(filled):
         return shares, has_words
-    logs = np.stack([np.add.reduceat(model.log_likelihood[:, k][grams], first[:-1]) for k in range(n_languages)])
+    logs = np.stack([np.add.reduceat(model.log_likelihood(k)[grams], first[:-1]) for k in range(n_languages)])
     # Only ratios count for the proportions; the best language of each word is set to zero.
     logs = np.maximum(logs - logs.max(axis=0), np.float32(-80.0))
     bounds = np.r_[words[filled], words[-1]]
@@ -184,9 +195,13 @@ def infer(model: Model, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarr
     return shares, has_words
 
 
+def _broadcast(spark, model: Model) -> tuple[list[str], list]:
+    return model.languages, [spark.sparkContext.broadcast(table) for table in model.tables]
+
+
 def _predict(shared, keep_mix: bool):
     def run(batches):
-        model: Model = shared.value
+        model = Model(shared[0], [table.value for table in shared[1]])
         names = np.array([*model.languages, UNKNOWN], dtype=object)
         for batch in batches:
             text = batch.column("text")
@@ -195,7 +210,7 @@ def _predict(shared, keep_mix: bool):
             score = np.zeros(batch.num_rows)
             mixes: list = [None] * batch.num_rows
             if model.languages:
-                for at, upto, data, offsets in text_slices(_lowered(text), SLICE_BYTES):
+                for at, upto, data, offsets in text_slices(_lowered(text), model.slice_bytes()):
                     shares, known = infer(model, data, offsets)
                     known &= letters[at:upto]
                     choice[at:upto] = np.where(known, shares.argmax(axis=1), len(model.languages))
@@ -217,7 +232,7 @@ def _predict(shared, keep_mix: bool):
 def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text", keep_mix: bool = True) -> DataFrame:
     """Per row: ``doc_id``, ``lang_pred``, ``score``; with ``keep_mix`` the ``proportions`` of its languages."""
     let_workers_import(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = _broadcast(docs.sparkSession, model)
     docs = plain_columns(docs, doc_id=id_column, text=text_column)
     kind = docs.schema["doc_id"].dataType.simpleString()
     more = ", proportions map<string,double>" if keep_mix else ""
@@ -227,7 +242,7 @@ def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colum
 def predict_beside(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
     """All columns of ``docs`` with ``lang_pred`` and ``score`` beside them; columns of these names give way."""
     let_workers_import(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = _broadcast(docs.sparkSession, model)
     docs = docs.select(*[docs[f"`{c}`"] for c in docs.columns if c not in ("lang_pred", "score")])
 
     def run(batches):

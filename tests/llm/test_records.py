@@ -172,6 +172,24 @@ def test_benchmark_items_are_found(spark):
     assert decontaminate.find_leaks(frame, benchmark.limit(0)).count() == decontaminate.find_leaks(frame.limit(0), benchmark).count() == 0
 
 
+def test_shards_of_the_benchmark_do_not_change_a_score(spark, monkeypatch):
+    draw = np.random.default_rng(12)
+    words = [f"w{k}" for k in range(400)]
+    items = [(k, " ".join(draw.choice(words[: 40 + 9 * k], 20 + 5 * k))) for k in range(40)]
+    docs = []
+    for k, text in items:
+        copy = text.split()
+        for at in draw.choice(len(copy), len(copy) // 12, replace=False):
+            copy[at] = "changed"
+        docs.append((k, "before " * 9 + " ".join(copy)))
+    benchmark = spark.createDataFrame(items + items[:5] * 8, "item_id long, text string")
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    whole = sorted(map(tuple, decontaminate.find_leaks(frame, benchmark, threshold=0.7).collect()))
+    monkeypatch.setattr(decontaminate, "SHARD_ITEMS", 6)
+    assert sorted(map(tuple, decontaminate.find_leaks(frame, benchmark, threshold=0.7).collect())) == whole
+    assert sum(r[1] == 3 for r in whole) in (0, 9) and len({r[1] for r in whole}) > 20
+
+
 def test_block_max_wand_equals_full_scoring():
     draw = np.random.default_rng(7)
     words = [f"w{k}" for k in range(300)]

@@ -44,6 +44,18 @@ def test_mixtures_are_found(spark):
     assert (beside.x, beside.score) == (7, row.score)
 
 
+def test_every_labelled_language_is_learned(spark):
+    draw = np.random.default_rng(6)
+    names = [f"l{k:02d}" for k in range(70)]
+    rows = []
+    for k, name in enumerate(names):
+        words = ["".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(12)]
+        rows.append((k, " ".join(draw.choice(words, 400 - 5 * k)), name))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language_mix.predict(docs, language_mix.learn(docs)).collect()
+    assert {r.doc_id: r.lang_pred for r in found} == {k: name for k, _, name in rows}
+
+
 def test_expectation_maximisation_by_hand():
     draw = np.random.default_rng(0)
     likelihood, bounds = draw.random((30, 3)) + 0.01, np.array([0, 10, 30])
