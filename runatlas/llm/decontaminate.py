@@ -11,7 +11,8 @@ slice at once: only passages with a block that could reach the threshold are run
 WAND, over posting lists with a pivot, block maxima and skips. Retrieved items are verified on the whole
 text: of the item's runs of five words, the part found in the document must be at least ``OVERLAP`` both
 for the question (runs that begin before the answer) and the answer (runs that reach into it: the last
-sentence, or the last quarter where that is no less than one word and at most half).
+sentence where that is at most half, but never less than a quarter of the item or ``RUN`` words, so that an edit
+or a cut at the very end alone does not hide a copy).
 
 The index is broadcast in shards of bounded size; a larger benchmark is looked up shard by shard. Document
 frequencies, unit count and mean length are those of all items in every shard, so shards do not change
@@ -56,10 +57,11 @@ def word_list(text: str) -> tuple[np.ndarray, list[bool]]:
 
 
 def answer_start(ends: list[bool]) -> int:
-    """The word with which the last sentence begins, if it is at most half of the text; else the last quarter."""
+    """The word with which the last sentence begins, if it is at most half of the text; at least ``RUN`` words and a quarter."""
     n = len(ends)
     last = max((i + 1 for i in range(n - 1) if ends[i]), default=0)
-    return last if n - last <= n / 2 else n - max(1, n // 4)
+    least = max(0, n - max(RUN, -(-n // 4)))
+    return min(last, least) if n - last <= n / 2 else least
 
 
 @dataclass

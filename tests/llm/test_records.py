@@ -172,6 +172,17 @@ def test_benchmark_items_are_found(spark):
     assert decontaminate.find_leaks(frame, benchmark.limit(0)).count() == decontaminate.find_leaks(frame.limit(0), benchmark).count() == 0
 
 
+def test_an_edit_of_a_short_answer_does_not_hide_a_copy(spark):
+    draw = np.random.default_rng(13)
+    words = ["".join(draw.choice(list("abcdefghij"), 5)) for _ in range(900)]
+    body = [" ".join(draw.choice(words, 24)) for _ in range(3)]
+    items = [(0, body[0] + ". Seven"), (1, body[1] + ". Twenty two"), (2, body[2] + ". Blue")]
+    docs = [(0, body[0] + ". Eight"), (1, body[1]), (2, " ".join(body[2].split()[:15])), (3, body[1] + ". Thirty one")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(0, 0), (1, 1), (3, 1)]
+
+
 def test_shards_of_the_benchmark_do_not_change_a_score(spark, monkeypatch):
     draw = np.random.default_rng(12)
     words = [f"w{k}" for k in range(400)]
