@@ -59,6 +59,26 @@ def test_every_stage_does_its_work(spark, planted):
     assert all(r.ids == library.encode(texts[r.doc_id], add_special_tokens=False).ids for r in kept["encoding"])
 
 
+def test_rows_are_judged_by_their_own_text(spark, tmp_path):
+    draw = random.Random(4)
+    words = ["".join(draw.choices("abcdefghijkl", k=6)) for _ in range(500)]
+    texts = [" ".join(draw.choices(words, k=80)) for _ in range(6)]
+    leak = " ".join(draw.choices(words, k=40))
+    rows = [
+        (1, texts[0], "a"), (1, texts[1], "b"), (1, texts[2] + " end", "c"), (0, texts[2], "d"),
+        (None, texts[3], "e"), (None, texts[3] + " end", "f"), (None, texts[0] + " end", "g"),
+        (None, leak, "h"), (2, texts[4], "i"), (2, texts[5] + " " + leak, "j"), (3, "", "k"), (3, "", "l"), (4, "", "m"), (None, "", "n"), (None, None, "o"),
+        (5, texts[4], "p"), (5, texts[4], "p"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert "".join(sorted(r.source for r in kept.collect())) == "abdehijkmno"
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = corpus_pipeline.drop_benchmark_leaks(spark, kept, str(tmp_path))
+    assert clean.columns == docs.columns and "".join(sorted(r.source for r in clean.collect())) == "abdeikmno"
+
+
 def test_run_gives_the_last_stage(spark, planted):
     folder, _ = planted
     found = corpus_pipeline.run(spark, folder)
