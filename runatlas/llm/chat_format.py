@@ -5,10 +5,11 @@ the line begins a turn or goes on with it. Seen are the line's speaker marker an
 ending, a blank line before, the transcript's first line), taken as independent given the state. Emission and
 transition counts are learned from labelled transcripts, in tables of fixed size; Viterbi finds the best states.
 
-A long transcript is cut into segments of ``SEGMENT`` pieces. Viterbi is a product of matrices in
+A long transcript is cut into segments of ``SEGMENT`` pieces, counted in order: pieces are sorted by ranges over all
+tasks, and a transcript that reaches over several ranges is numbered on by their offsets. Viterbi is a product of matrices in
 (max, +), so every segment first gives its 6 x 6 matrix of best scores, the states at the segments' borders are
 chosen from those alone, and each segment is then decoded between its borders, in a task of its own: the
-result is that of one run over the whole transcript.
+result is that of one run over the whole transcript. A turn that goes on over borders is put together again.
 
 Cases: pieces with null or empty text have one empty line. Pieces with a null position come first, ties go
 by text; equal pieces at one position count once. A null conversation is one of its own. An empty table gives none.
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -175,14 +177,34 @@ def _key(conv: Column) -> Column:
     return F.coalesce(conv.cast("string"), F.lit(_NO_CONV))
 
 
-def _pieces(df: DataFrame, role: bool) -> DataFrame:
-    """Pieces dealt by conversation and segment and sorted within; equal pieces of a position count once."""
-    segment = F.coalesce(F.floor(F.col("position") / SEGMENT), F.lit(0)).cast("long")
+def _numbered(batches):
+    """Rows of a sorted partition, with the partition and the number of the row among those of its conversation there."""
+    part, conv, number = TaskContext.get().partitionId(), None, 0
+    for batch in batches:
+        numbers = []
+        for this in batch.column("conv").to_pylist():
+            number = number + 1 if this == conv else 0
+            conv = this
+            numbers.append(number)
+        more = [pa.array([part] * batch.num_rows, pa.int32()), pa.array(numbers, pa.int64())]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, "part", "number"])
+
+
+def _pieces(df: DataFrame, role: bool, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Pieces with their segment, and the table below them; equal pieces of a position count once."""
     columns = ["conv", "position", "text", *(["role"] if role else [])]
-    once = df.select(*columns).distinct().withColumn("segment", segment)
-    first = once.groupBy("conv").agg(F.min("segment").alias("least"))
-    numbered = once.join(first, "conv").select(*columns, (F.col("segment") - F.col("least")).alias("segment"))
-    return _sorted(numbered)
+    once = df.select(*columns).distinct()
+    order = ["conv", *[F.col(c).asc_nulls_first() for c in columns[1:]]]
+    ranged = once.repartitionByRange(*order).sortWithinPartitions(*order)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in once.schema.fields)
+    table = scratch.save(ranged.mapInArrow(_numbered, f"{fields}, part int, number long"), "numbered")
+    # Only the first conversation of a part can have begun in an earlier one: at most one offset a part.
+    before = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = table.groupBy("part", "conv").agg(F.count("*").alias("n")).withColumn("offset", F.sum("n").over(before))
+    offsets = F.broadcast(offsets.filter("offset > 0").select("part", "conv", "offset"))
+    rank = F.col("number") + F.coalesce("offset", F.lit(0))
+    numbered = table.join(offsets, ["part", "conv"], "left").select(*columns, F.floor(rank / SEGMENT).cast("long").alias("segment"))
+    return numbered, table
 
 
 def _sorted(pieces: DataFrame) -> DataFrame:
@@ -192,10 +214,13 @@ def _sorted(pieces: DataFrame) -> DataFrame:
 
 def learn(labelled: DataFrame) -> Model:
     """A model from ``labelled(conv, position, role, text)``; rows of other roles break the sequence."""
-    counted = _pieces(labelled, True).mapInArrow(_count, "kind int, state int, value int, n long")
+    scratch = Scratch(labelled.sparkSession, "chat")
+    pieces, table = _pieces(labelled, True, scratch)
+    counted = _sorted(pieces).mapInArrow(_count, "kind int, state int, value int, n long")
     tables = [np.zeros((len(STATES), 1)), np.zeros((len(STATES), len(STATES))), *[np.zeros((len(STATES), v)) for v in FEATURES]]
     for kind, state, value, n in counted.groupBy("kind", "state", "value").agg(F.sum("n")).collect():  # of fixed size
         tables[kind][state, value] = n
+    scratch.drop(table)
     return Model(tables[0][:, 0], tables[1], tables[2:])
 
 
@@ -231,6 +256,7 @@ def _borders(batches):
                 "segment": pa.array([r[1] for r in held], pa.int64()),
                 "entry": pa.array([None, *leave[:-1]], pa.int32()),
                 "leave": pa.array(leave, pa.int32()),
+                "several": pa.array([len(held) > 1] * len(held), pa.bool_()),
             }
         )
 
@@ -268,7 +294,6 @@ def _decode(shared):
                         if not line:
                             continue
                 turns[-1][2].append(line)
-            texts = ["\n".join(t[2]).strip("\n") for t in turns]
             yield pa.RecordBatch.from_pydict(
                 {
                     "conv": pa.array([conv] * len(turns), pa.string()),
@@ -277,7 +302,7 @@ def _decode(shared):
                     "role": pa.array([t[0] for t in turns], pa.string()),
                     "continued": pa.array([t[1] for t in turns], pa.bool_()),
                     "n_lines": pa.array([len(t[2]) for t in turns], pa.int64()),
-                    "rendered": pa.array([render(t[0], x) for t, x in zip(turns, texts, strict=True)], pa.string()),
+                    "text": pa.array(["\n".join(t[2]) for t in turns], pa.string()),
                 }
             )
 
@@ -287,8 +312,8 @@ def _decode(shared):
 def parse_transcripts(pieces: DataFrame, model: Model, conv: str = "conv_id", position: str = "position", text: str = "text") -> DataFrame:
     """Recovered turns ``(conv_id, segment, turn, role, continued, n_lines, rendered)`` of raw transcripts.
 
-    ``pieces`` are consecutive parts of transcripts, of whole lines each. ``continued`` marks the rest of a turn that
-    began in the segment before.
+    ``pieces`` are consecutive parts of transcripts, of whole lines each. Turns are numbered through the transcript;
+    ``segment`` is that in which the turn begins. Turns are whole, so ``continued`` is false.
     """
     spark = pieces.sparkSession
     scratch = Scratch(spark, "chat")
@@ -296,7 +321,7 @@ def parse_transcripts(pieces: DataFrame, model: Model, conv: str = "conv_id", po
     shared = spark.sparkContext.broadcast(model)
     raw = plain_columns(pieces, conv=conv, position=position, text=text).withColumn("conv", _key(F.col("conv")))
     # One table of segments for both passes: each with the line that stands before it.
-    dealt = scratch.save(_pieces(raw, False), "segments")
+    dealt, _ = _pieces(raw, False, scratch)
     ends = F.max_by("text", F.struct(F.col("position").isNotNull(), "position", F.col("text").isNotNull(), "text")).alias("end")
     tails = dealt.groupBy("conv", "segment").agg(ends)
     before = F.lag(F.element_at(F.split(F.regexp_replace(F.coalesce("end", F.lit("")), "\r\n", "\n"), "\n"), -1))
@@ -310,13 +335,38 @@ def parse_transcripts(pieces: DataFrame, model: Model, conv: str = "conv_id", po
     borders = (
         matrices.repartition("conv")
         .sortWithinPartitions("conv", "segment")
-        .mapInArrow(_borders, "conv string, segment long, entry int, leave int")
+        .mapInArrow(_borders, "conv string, segment long, entry int, leave int, several boolean")
     )
     chosen = scratch.save(tails.join(borders, ["conv", "segment"]), "borders")
-    schema = "conv string, segment long, turn long, role string, continued boolean, n_lines long, rendered string"
-    turns = joined(chosen, "last", "entry", "leave").mapInArrow(_decode(shared), schema)
+    schema = "conv string, segment long, turn long, role string, continued boolean, n_lines long, text string"
+
+    def decoded(some: DataFrame) -> DataFrame:
+        return joined(some, "last", "entry", "leave").mapInArrow(_decode(shared), schema)
+
+    turns = decoded(chosen.filter("not several"))
+    if not chosen.filter("several").isEmpty():
+        turns = turns.unionByName(_whole_turns(scratch.save(decoded(chosen.filter("several")), "parts")))
     named = F.when(F.col("conv") != _NO_CONV, F.col("conv")).cast(kind)
-    return turns.select(named.alias("conv_id"), *turns.columns[1:])
+    rendered = F.concat(F.lit("<|"), "role", F.lit("|>\n"), F.btrim("text", F.lit("\n")), F.lit("\n<|end|>"))  # as render()
+    return turns.select(named.alias("conv_id"), *turns.columns[1:-1], rendered.alias("rendered"))
+
+
+def _whole_turns(parts: DataFrame) -> DataFrame:
+    """The turns of segments as turns of their transcripts: what goes on with a turn is joined to it."""
+    begun = parts.groupBy("conv", "segment").agg(
+        F.count_if(~F.col("continued")).alias("begun"), F.count_if("continued").alias("shift")
+    )
+    before = Window.partitionBy("conv").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    begun = begun.withColumn("offset", F.coalesce(F.sum("begun").over(before), F.lit(0)) - F.col("shift"))
+    numbered = parts.join(begun.select("conv", "segment", "offset"), ["conv", "segment"])
+    numbered = numbered.withColumn("turn", F.col("turn") + F.col("offset"))
+    joined = numbered.groupBy("conv", "turn", "role").agg(
+        F.min("segment").alias("segment"),
+        F.sum("n_lines").alias("n_lines"),
+        F.array_sort(F.collect_list(F.struct("segment", "text"))).alias("parts"),
+    )
+    text = F.array_join(F.transform("parts", lambda p: p["text"]), "\n")
+    return joined.select("conv", "segment", "turn", "role", F.lit(False).alias("continued"), "n_lines", text.alias("text"))
 
 
 def raw_transcripts(turns: DataFrame) -> DataFrame:

@@ -124,6 +124,26 @@ def test_segments_do_not_change_the_parse(spark, monkeypatch):
     assert roles() == whole
 
 
+def test_turns_over_borders_are_whole(spark, monkeypatch):
+    turns = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    raw = chat_format.raw_transcripts(turns)
+    model = chat_format.learn(raw.withColumn("conv", raw["conv_id"].cast("string")))
+    lines = [(1, k, "Assistant: it begins" if k == 2 else "and goes on with more words") for k in range(9)]
+    lines += [(None, None, f"User: is it {k}?") for k in range(20)] + [(2, k, "User: yes?" if k % 2 else "Assistant: no.") for k in range(9)]
+    pieces = spark.createDataFrame(lines, "conv_id long, position long, text string")
+
+    def rows():
+        found = chat_format.parse_transcripts(pieces, model).collect()
+        return sorted([(r.conv_id or 0, r.turn, r.role, r.continued, r.n_lines, r.rendered) for r in found])
+
+    whole = rows()
+    assert max(r[4] for r in whole) > 3
+    monkeypatch.setattr(chat_format, "SEGMENT", 2)
+    assert rows() == whole
+    dealt, _ = chat_format._pieces(pieces.select(chat_format._key(pieces["conv_id"]).alias("conv"), "position", "text"), False, chat_format.Scratch(spark, "t"))
+    assert max(r["count"] for r in dealt.groupBy("conv", "segment").count().collect()) == 2
+
+
 def test_odd_transcripts(spark):
     rows = [(1, 0, "User: a"), (1, 0, "User: a"), (1, None, None), (None, 1, "hello"), (2, 5, "")]
     pieces = spark.createDataFrame([(*r, "x") for r in rows], "conv_id long, position long, text string, segment string")
