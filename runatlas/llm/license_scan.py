@@ -1,7 +1,8 @@
 """License scans: TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
-A file's headers are its lines with a licence cue (anywhere in the file), each with the line after it. A
-licence file (named so, or short and with a cue) is also compared as a whole. The terms of headers,
+A file's headers are its lines (anywhere in the file) with a licence cue or ``LEAST_RARE`` different rare terms of
+the templates, each also with the line after it, and cut into sentences, long sentences into windows of words. A
+licence file (named so, or short and hinting at a licence) is always compared as a whole. The terms of headers,
 weighted by TF-IDF, are joined with the terms of the templates; the template with the highest cosine, if
 at least ``LEAST_COSINE``, is the header's. Document frequencies are those of all headers of the corpus
 and of the templates.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from runatlas.llm.scratch import Scratch, plain_columns
 
 LEAST_COSINE = 0.45
-SHORT_WORDS = 40  # a file of at most this many words and a cue counts as a licence file
+SHORT_WORDS = 40  # a file of at most this many words that hints at a licence counts as a licence file
 LICENSE_NAME = r"(?i)^(un)?licen[sc]e|^copying|^notice"
 CUE = r"(?i)licen[sc]|copyright|all rights reserved|spdx-"
 
@@ -52,24 +53,50 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Proprietary", "Copyright. All rights reserved. Unauthorized copying is prohibited. Proprietary and confidential."),
 )
 _WORD = "[a-z0-9]+"
+#: Terms of templates that any text may have; the others are rare ones.
+ORDINARY = frozenset(
+    "0 1 2 3 4 a all and any are by can code copy copying deal except file for form forms free general in is it may not of or "
+    "person program public released source subject terms the this to under use v version with without work you".split()
+)
+LEAST_RARE = 2  # different rare terms that make a line a header without a cue
+WINDOW = 32  # words of a window of a long sentence; each begins half a window after the one before
+_RARE = r"\b(?:" + "|".join(sorted({t for _, text in TEMPLATES for t in re.findall(_WORD, text.lower())} - ORDINARY)) + r")\b"
 
 
 def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
 
 
+def hints(text: Column) -> Column:
+    """Whether a text may hold a statement: a cue, or several rare terms of the templates."""
+    rare = F.regexp_extract_all(F.lower(text), F.lit(_RARE), F.lit(0))
+    return F.coalesce(text.rlike(CUE) | (F.size(F.array_distinct(rare)) >= LEAST_RARE), F.lit(False))
+
+
+def _sentences(line: Column) -> Column:
+    """The sentences of a line, long ones in overlapping windows of words."""
+    def windows(sentence: Column) -> Column:
+        words = F.split(sentence, r"\s+")
+        starts = F.sequence(F.lit(1), F.size(words), F.lit(WINDOW // 2))
+        cut = F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(WINDOW)), " "))
+        return F.when(F.size(words) > WINDOW + WINDOW // 2, cut).otherwise(F.array(sentence))
+
+    return F.flatten(F.transform(F.split(line, r"(?<=[.!?;])\s+"), windows))
+
+
 def header_texts(files: DataFrame) -> DataFrame:
-    """``(file, part, header)``: every line with a cue and the line after it; part 0 is a licence file as a whole."""
-    cued = files.filter(F.col("text").rlike(CUE))
+    """``(file, part, header)``: lines that hint at a licence, with the line after, and in sentences; part ``all`` is a licence file."""
+    hinted = files.filter("hinted")
     lines = F.split("text", "\r?\n")
-    following = F.transform(lines, lambda line, i: F.concat_ws("\n", line, F.when(~F.get(lines, i + 1).rlike(CUE), F.get(lines, i + 1))))
-    alone = F.transform(lines, lambda line: line)
-    numbered = F.arrays_zip(alone.alias("line"), following.alias("both"))
-    parts = cued.select("file", "license_file", "text", F.posexplode(numbered).alias("n", "z")).filter(F.col("z.line").rlike(CUE))
-    single = parts.select("file", (2 * F.col("n") + 1).alias("part"), F.col("z.line").alias("header"))
-    double = parts.filter(F.col("z.line") != F.col("z.both")).select("file", (2 * F.col("n") + 2).alias("part"), F.col("z.both").alias("header"))
-    whole = cued.filter("license_file").select("file", F.lit(0).alias("part"), F.col("text").alias("header"))
-    return single.union(double).union(whole)
+    numbered = F.transform(lines, lambda line, i: F.struct(line.alias("line"), F.get(lines, i + 1).alias("next")))
+    parts = hinted.select("file", F.posexplode(numbered).alias("n", "z")).filter(hints(F.col("z.line")))
+    parts = parts.select("file", "n", "z.line", "z.next", F.filter(_sentences(F.col("z.line")), hints).alias("sentences"))
+    both = F.when(~hints(F.col("next")), F.concat_ws("\n", "line", "next"))
+    headers = F.array_distinct(F.concat(F.array_compact(F.array("line", both)), "sentences"))
+    cut = parts.select("file", "n", F.posexplode(headers).alias("k", "header"))
+    cut = cut.select("file", F.concat_ws("/", F.col("n").cast("string"), F.col("k").cast("string")).alias("part"), "header")
+    whole = files.filter("license_file and text is not null").select("file", F.lit("all").alias("part"), F.col("text").alias("header"))
+    return cut.union(whole)
 
 
 def _template_terms(spark) -> tuple[DataFrame, int]:
@@ -133,15 +160,14 @@ def scan_licenses(files: DataFrame, id_column: str = "file_id", path_column: str
     files = plain_columns(files, file_id=id_column, path=path_column, text=text_column)
     name = F.element_at(F.split("path", "/"), -1)
     directory = F.when(F.col("path").contains("/"), F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.when(F.col("path").isNotNull(), F.lit("")))
-    cued = F.coalesce(F.col("text").rlike(CUE), F.lit(False))
     words = F.when(F.length("text") <= 40 * SHORT_WORDS, F.size(F.split(F.trim("text"), r"\s+")))
-    short = cued & F.coalesce(words <= SHORT_WORDS, F.lit(False))
+    short = F.col("hinted") & F.coalesce(words <= SHORT_WORDS, F.lit(False))
     license_file = F.coalesce(name.rlike(LICENSE_NAME), F.lit(False)) | short
     # Rows are told apart by id, path and text, so equal rows share one key and one answer.
     prepared = files.withColumn("file", F.sha2(F.concat_ws("\u0000", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0001")) for c in ("file_id", "path", "text")]), 256))
-    prepared = prepared.withColumn("directory", directory).withColumn("license_file", license_file)
+    prepared = prepared.withColumn("hinted", hints(F.col("text"))).withColumn("directory", directory).withColumn("license_file", license_file)
     listed = scratch.save(prepared.select("file_id", "path", "file", "directory", "license_file"), "files")
-    own = scratch.save(best_licenses(prepared.select("file", "text", "license_file"), scratch), "own")
+    own = scratch.save(best_licenses(prepared.select("file", "text", "license_file", "hinted"), scratch), "own")
 
     licensed = listed.filter("license_file and directory is not null").join(own, "file").groupBy("directory")
     best = F.max(F.struct("cosine", "license")).alias("best")

@@ -256,3 +256,15 @@ def test_licences_and_inheritance(spark):
         (9, None, "none", None),
     ]
     assert license_scan.scan_licenses(frame.limit(0)).count() == 0
+
+
+def test_every_template_is_found_alone_and_in_a_long_line(spark):
+    prose = "the garden by the river was quiet that year and people walked along stones near windows of old houses "
+    statements = [*license_scan.TEMPLATES, ("MIT", license_scan.TEMPLATES[3][1].removesuffix(" MIT License.")), ("BSD-3-Clause", license_scan.TEMPLATES[9][1].removesuffix(" BSD 3-Clause License."))]
+    rows = [(2 * k, f"p{k}/LICENSE", text) for k, (_, text) in enumerate(statements)]
+    rows += [(2 * k + 1, f"q{k}/x.txt", prose * 5 + "ended. " + text + " " + prose * 5) for k, (_, text) in enumerate(statements)]
+    rows += [(900, "LICENSE", "Licensed under the Apache License, Version 2.0."), (901, "r/x.txt", prose * 8)]
+    found = {r.file_id: r for r in license_scan.scan_licenses(spark.createDataFrame(rows, "file_id long, path string, text string")).collect()}
+    for k, (name, _) in enumerate(statements):
+        assert [(found[i].license, found[i].origin) for i in (2 * k, 2 * k + 1)] == [(name, "own")] * 2
+    assert (found[901].license, found[901].origin) == ("Apache-2.0", "inherited")
