@@ -229,6 +229,27 @@ def json_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_times(records(valid_rows(audit(read))))
 
 
+LIST_RECORDS = 4096  # of one list file, at most
+
+
+def write_lists(raw: DataFrame, path: str) -> None:
+    """The records of each source in list files of at most ``LIST_RECORDS``, whose names sort in input order.
+
+    Records are sorted by ranges over all tasks and cut by their number in the range, so no key fills a file.
+    """
+    place = ("l_partkey", "l_suppkey", "l_extendedprice")
+    record = F.to_json(F.struct(*[c for c in raw.columns if c not in (*place, "source_rank")]))
+    rows = raw.select("source_rank", (F.col("l_suppkey") % 4).alias("file"), *place, record.alias("json"))
+    ranged = rows.repartitionByRange(*rows.columns).sortWithinPartitions(*rows.columns)
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # of the row in its range
+    block = F.lpad(F.floor(number / LIST_RECORDS).cast("string"), 9, "0")
+    piece = F.concat(F.lit("p"), F.lpad(F.spark_partition_id().cast("string"), 6, "0"), F.lit("-"), block)
+    element = F.struct(*place, "json")
+    files = ranged.withColumn("piece", piece).groupBy("source_rank", "file", "piece").agg(F.array_sort(F.collect_list(element)).alias("rows"))
+    text = F.concat(F.lit("["), F.array_join(F.transform("rows", lambda r: r["json"]), ","), F.lit("]"))
+    files.select("source_rank", "file", "piece", text.alias("value")).write.partitionBy("source_rank", "file", "piece").text(path)
+
+
 @query(
     "json_list_source",
     with_sql(
@@ -241,13 +262,7 @@ def json_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_list_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several list files of two sources and an absent one; the first in input order stays of each id."""
     path = scratch(spark, "raw-lists")
-    raw = adapter.raw_runs(spark, sf_dir)
-    place = ("l_partkey", "l_suppkey", "l_extendedprice")
-    record = F.to_json(F.struct(*[c for c in raw.columns if c not in (*place, "source_rank")]))
-    element = F.struct(*place, record.alias("json"))
-    files = raw.groupBy("source_rank", (F.col("l_suppkey") % 4).alias("file")).agg(F.array_sort(F.collect_list(element)).alias("rows"))
-    text = F.concat(F.lit("["), F.array_join(F.transform("rows", lambda r: r["json"]), ","), F.lit("]"))
-    files.select("source_rank", "file", text.alias("value")).write.partitionBy("source_rank", "file").text(path)
+    write_lists(adapter.raw_runs(spark, sf_dir), path)
     lists = [f"{path}/source_rank=0", f"{path}/source_rank=1", f"{path}/source_rank=2"]
     read = json_records.read_sources(spark, lists[0], lists[1:], lines=False)
     return plain_times(records(clean.deduplicate(valid_rows(audit(read)), json_records.input_order())))

@@ -117,3 +117,17 @@ def test_estimates_keep_runs_on_unknown_hardware(spark):
     for made, column in ((enrich.energy_estimate, "estimated_kwh"), (enrich.time_residual, "time_ratio"), (enrich.accuracy_residual, "accuracy_residual")):
         rows = {r.gpu: r[column] for r in made(df).collect()}
         assert len(rows) == 2 and rows["none"] is None and rows["NVIDIA T4"] is not None
+
+
+def test_list_files_have_a_bounded_number_of_records(spark, tmp_path, monkeypatch):
+    from runatlas.plans import catalog
+    from runatlas.sources import json_records
+
+    rows = [(k % 2, 8 if k % 10 else k, (k * 7) % 1000, float(k), f"r{k:04d}") for k in range(1000)]
+    raw = spark.createDataFrame(rows, "source_rank int, l_suppkey long, l_partkey long, l_extendedprice double, experiment_id string")
+    monkeypatch.setattr(catalog, "LIST_RECORDS", 40, raising=False)
+    catalog.write_lists(raw, str(tmp_path / "lists"))
+    read = json_records.read_sources(spark, f"{tmp_path}/lists/source_rank=0", [f"{tmp_path}/lists/source_rank=1"], lines=False)
+    assert max(r["count"] for r in read.groupBy("_file").count().collect()) <= 40
+    found = [r.experiment_id for r in read.orderBy(*json_records.input_order()).collect()]
+    assert found == [r[4] for r in sorted(rows, key=lambda r: (r[0], r[1] % 4, r[2], r[1], r[3], r[4]))]
