@@ -15,6 +15,7 @@ from runatlas.llm import (
     language_mix,
     license_scan,
     secret_scan,
+    simhash_pivots,
     spot_signatures,
     token_counts,
     warc,
@@ -75,6 +76,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(files).withColumnRenamed("file_id", "doc_id")
 
 
+def op11_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_pivots.near_duplicate_groups(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_mix": op1_language_mix,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -86,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_warc_zstd": op9_warc_zstd,
     "op10_license_scan": op10_license_scan,
+    "op11_simhash_pivots": op11_simhash_pivots,
 }
 
 ORACLE: dict[str, str] = {
