@@ -14,6 +14,7 @@ from runatlas.llm import (
     jaccard_join,
     language_mix,
     license_scan,
+    merkle_manifest,
     secret_scan,
     simhash_pivots,
     spot_signatures,
@@ -80,6 +81,15 @@ def op11_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_pivots.near_duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third document or so, by the checksum of its id, claims a text with A-Z in lower case."""
+    docs = _table(spark, sf_dir, "documents")
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    claimed = F.when(tampered, F.translate("text", letters, letters.lower())).otherwise(F.col("text"))
+    return merkle_manifest.verify(docs, {"text": claimed})
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_mix": op1_language_mix,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -92,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op9_warc_zstd": op9_warc_zstd,
     "op10_license_scan": op10_license_scan,
     "op11_simhash_pivots": op11_simhash_pivots,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
@@ -120,4 +131,56 @@ SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS payload_diges
   CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> head THEN head END AS refers_to
 FROM page""",
+    "op12_merkle_manifest": """WITH RECURSIVE
+byte AS (SELECT list(c ORDER BY n) AS crc FROM (
+  SELECT n, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, n) AS c
+  FROM range(256) AS t(n))),
+doc AS (
+  SELECT doc_id, lang, row_number() OVER () AS place, CASE WHEN xor(4294967295, list_reduce(
+      list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ord(d)::BIGINT),
+      lambda c, d: xor(crc[(xor(c, d) & 255) + 1], c >> 8), 4294967295)) % 3 = 0
+    THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS claimed,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS body
+  FROM documents, byte),
+leaf AS (
+  SELECT doc_id, lang, sha256(head || body) AS leaf, sha256(head || coalesce(strlen(claimed) || ':' || claimed, '-')) AS claim,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, sha256(head || body)) - 1 AS pos,
+    count(*) OVER (PARTITION BY lang) AS size
+  FROM doc),
+node AS (
+  SELECT lang, size, 0 AS level, pos, leaf AS h FROM leaf
+  UNION ALL
+  SELECT lang, any_value(size), level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM node
+  WHERE ceil(size / 8.0 ** level) > 1 GROUP BY lang, level, pos // 8),
+head AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS size
+  FROM node WHERE ceil(size / 8.0 ** level) <= 1),
+top AS (
+  SELECT size, 0 AS level, pos, subroot AS h FROM head
+  UNION ALL
+  SELECT any_value(size), level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM top
+  WHERE ceil(size / 8.0 ** level) > 1 GROUP BY level, pos // 8),
+hop AS (
+  SELECT lang, level, pos // 8 AS run, list(h ORDER BY pos) AS hs FROM node WHERE ceil(size / 8.0 ** level) > 1 GROUP BY ALL),
+top_hop AS (SELECT level, pos // 8 AS run, list(h ORDER BY pos) AS hs FROM top WHERE ceil(size / 8.0 ** level) > 1 GROUP BY ALL),
+climb AS (
+  SELECT doc_id, lang, leaf, 0 AS level, pos, claim AS h, '' AS seen FROM leaf
+  UNION ALL
+  SELECT c.doc_id, c.lang, leaf, c.level + 1, pos // 8,
+    sha256(array_to_string(hs[:pos % 8], '') || c.h || array_to_string(hs[pos % 8 + 2:], '')),
+    seen || array_to_string(hs[:pos % 8], '') || array_to_string(hs[pos % 8 + 2:], '')
+  FROM climb c JOIN hop ON c.lang IS NOT DISTINCT FROM hop.lang AND c.level = hop.level AND c.pos // 8 = hop.run),
+climbed AS (
+  SELECT doc_id, leaf, head.subroot, 0 AS level, head.pos, h, seen FROM head JOIN (
+    SELECT *, max(level) OVER (PARTITION BY lang) AS last FROM climb) c ON c.lang IS NOT DISTINCT FROM head.lang AND c.level = c.last
+  UNION ALL
+  SELECT doc_id, leaf, subroot, c.level + 1, pos // 8,
+    sha256(array_to_string(hs[:pos % 8], '') || c.h || array_to_string(hs[pos % 8 + 2:], '')),
+    seen || array_to_string(hs[:pos % 8], '') || array_to_string(hs[pos % 8 + 2:], '')
+  FROM climbed c JOIN top_hop ON c.level = top_hop.level AND c.pos // 8 = top_hop.run),
+root AS (SELECT h AS root FROM top WHERE ceil(size / 8.0 ** level) <= 1)
+SELECT doc_id, leaf, subroot, root, sha256(seen) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM climbed, root WHERE level = (SELECT max(level) FROM climbed)""",
 }
