@@ -15,6 +15,7 @@ from runatlas.llm import (
     language_mix,
     license_scan,
     merkle_manifest,
+    prefix_trie,
     secret_scan,
     simhash_pivots,
     spot_signatures,
@@ -90,6 +91,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.verify(docs, {"text": claimed})
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.grafted_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_mix": op1_language_mix,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -103,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "op10_license_scan": op10_license_scan,
     "op11_simhash_pivots": op11_simhash_pivots,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE: dict[str, str] = {
@@ -183,4 +189,32 @@ climbed AS (
 root AS (SELECT h AS root FROM top WHERE ceil(size / 8.0 ** level) <= 1)
 SELECT doc_id, leaf, subroot, root, sha256(seen) AS proof_sha256, h AS folded_root, h = root AS verified
 FROM climbed, root WHERE level = (SELECT max(level) FROM climbed)""",
+    "op13_prefix_trie": """WITH
+byte AS (SELECT list(c ORDER BY n) AS crc FROM (
+  SELECT n, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, n) AS c
+  FROM range(256) AS t(n))),
+conv AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+graft AS (
+  SELECT conv_id, turns, xor(4294967295, list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ord(d)::BIGINT),
+    lambda c, d: xor(crc[(xor(c, d) & 255) + 1], c >> 8), 4294967295)) % 4 AS h
+  FROM conv, byte),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns[:c.h], []), c.turns[c.h + 1:]) AS turns
+  FROM graft c LEFT JOIN conv b ON b.conv_id = c.conv_id - c.conv_id % 20),
+prefix AS (SELECT conv_id, d AS depth, turns[:d] AS path, len(turns) AS n FROM rebuilt, LATERAL (SELECT unnest(range(len(turns) + 1)) AS d)),
+node AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256,
+    (count(*) - 1) * CASE WHEN depth > 0 THEN len(list_filter(regexp_split_to_array(path[depth].text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) ELSE 0 END AS saved
+  FROM prefix GROUP BY path, depth),
+child AS (SELECT path[:depth - 1] AS path, count(*) AS n FROM node WHERE depth > 0 GROUP BY ALL),
+known AS (SELECT node.*, coalesce(child.n, 0) AS n_children FROM node LEFT JOIN child USING (path)),
+below AS (
+  SELECT path[:d] AS path, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM known, LATERAL (SELECT unnest(range(depth + 1)) AS d) GROUP BY ALL)
+SELECT k.conv_id, k.depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children, b.n_leaves, b.saved_tokens::BIGINT AS saved_tokens, k.ends_sha256
+FROM known k JOIN below b USING (path) LEFT JOIN node p ON k.depth > 0 AND p.path = k.path[:k.depth - 1] AND p.depth = k.depth - 1""",
 }
