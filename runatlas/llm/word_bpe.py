@@ -101,10 +101,13 @@ class WordBpe:
         return [s for s in symbol if s >= 0]
 
     def parts(self, text: str):
-        """Special strings, and the pieces of lower-case text between white space."""
+        """The pieces of lower-case text between white space, and the ids of special strings.
+
+        Special strings are looked for in the text as it stands: one in other letters is ordinary text.
+        """
         for k, segment in enumerate(self.split_special.split(text) if "<|" in text else [text]):
             if k % 2:
-                yield segment
+                yield self.special[segment]
                 continue
             if not segment.isascii():
                 segment = unicodedata.normalize("NFC", segment).replace("Σ", "σ")  # no final-sigma rule in the library
@@ -114,9 +117,9 @@ class WordBpe:
             else:
                 yield from segment.split()
 
-    def encode_part(self, part: str) -> list[int]:
-        if part in self.special:
-            return [self.special[part]]
+    def encode_part(self, part: str | int) -> list[int]:
+        if isinstance(part, int):
+            return [part]
         return [i for word in WORD.findall(part) for i in self.encode_word(word)]
 
     def encode(self, text: str | None) -> list[int]:
@@ -140,7 +143,7 @@ class WordBpe:
         """Decimal ids joined by one space."""
         out = []
         for part in self.parts(text or ""):
-            found = self.young.get(part)
+            found = self.young.get(part) if isinstance(part, str) else str(part)
             out.append(self._written(part) if found is None else found)
         return " ".join(filter(None, out))
 

@@ -18,7 +18,7 @@ WORD_PATH = public_tokenizers.path("word_bpe_49k.json")
 BYTE_PATH = public_tokenizers.path("byte_bpe_50k.json")
 OURS, LIBRARY = WordBpe(WORD_PATH), Tokenizer.from_file(WORD_PATH)
 COUNTER, BYTES = token_counts.WordCounter(BYTE_PATH), Tokenizer.from_file(BYTE_PATH)
-PIECES = ["hello", "World", "'S", "'re", "é", "ñÑ", "Σς", "İ", "中文", " ", "\n\n", "\t", "\x1c", "\x85", "123", "½", "...", "<|endoftext|>", "<|startoftext|>", "<|endof", "😀", "Å", "Å"]
+PIECES = ["hello", "World", "'S", "'re", "é", "ñÑ", "Σς", "İ", "中文", " ", "\n\n", "\t", "\x1c", "\x85", "123", "½", "...", "<|endoftext|>", "<|startoftext|>", "<|endof", "<|EndOfText|>", "<|ENDOFTEXT|>", "<|StartOfText|>", "😀", "Å", "Å"]
 texts = st.one_of(st.text(max_size=40), st.lists(st.sampled_from(PIECES), max_size=15).map("".join))
 
 
