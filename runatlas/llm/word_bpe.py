@@ -33,8 +33,27 @@ CACHE_PARTS = 200_000  # per generation; an entry takes about 200 bytes
 
 # Fixed values of the tokenizer's file format: word pattern and printable stand-ins of bytes.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+# Letters and numbers of later Unicode versions than the tokenizer's library knows: neither to it, but ordinary signs.
+LATER = """558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959 10EC5-10EC7
+10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 1246F 12475-1247F 12550-12686 16EA0-16EB8 16EBB-16ED3 16FF2-16FF6 187F8-187FF
+18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF
+1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F"""
+# Capitals (of Unicode 16 and 17) that Python may not put in lower case yet: first, last, and where the small ones begin.
+CAPITALS = ((0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x264), (0xA7CC, 0xA7CC, 0xA7CD), (0xA7CE, 0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2, 0xA7D3),
+            (0xA7D4, 0xA7D4, 0xA7D5), (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x19B), (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB))
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 SPACE_UNLIKE_PYTHON = regex.compile("[\x1c-\x1f]")
+_LATER = "".join("-".join(f"\\U{int(end, 16):08x}" for end in run.split("-")) for run in LATER.split())
+WORD_KNOWN = regex.compile(
+    rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}--[{_LATER}]]+|[\p{{N}}--[{_LATER}]]|(?:[^\p{{White_Space}}\p{{L}}\p{{N}}]|[{_LATER}])+"
+)
+SMALL = {c: chr(small + c - first) for first, last, small in CAPITALS for c in range(first, last + 1)}
+_CAPITAL = regex.compile(f"[{''.join(map(chr, SMALL))}]")
+
+
+def words_of(part: str) -> list[str]:
+    """Words of the pattern; parts beyond ASCII need the longer form of it."""
+    return (WORD if part.isascii() else WORD_KNOWN).findall(part)
 
 
 def byte_symbols() -> list[str]:
@@ -111,16 +130,18 @@ class WordBpe:
                 continue
             if not segment.isascii():
                 segment = unicodedata.normalize("NFC", segment).replace("Σ", "σ")  # no final-sigma rule in the library
+                if _CAPITAL.search(segment):
+                    segment = segment.translate(SMALL)
             segment = segment.lower()
             if SPACE_UNLIKE_PYTHON.search(segment):  # Python's split() parts words there, the pattern does not
-                yield from WORD.findall(segment)
+                yield from words_of(segment)
             else:
                 yield from segment.split()
 
     def encode_part(self, part: str | int) -> list[int]:
         if isinstance(part, int):
             return [part]
-        return [i for word in WORD.findall(part) for i in self.encode_word(word)]
+        return [i for word in words_of(part) for i in self.encode_word(word)]
 
     def encode(self, text: str | None) -> list[int]:
         return [i for part in self.parts(text or "") for i in self.encode_part(part)]

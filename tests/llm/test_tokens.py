@@ -44,6 +44,13 @@ def test_long_words_merge_like_the_library():
         assert OURS.encode(word) == LIBRARY.encode(word, add_special_tokens=False).ids
 
 
+def test_every_character_is_classed_as_in_the_library():
+    shown = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for beside in "a!":
+        texts = [beside + c + beside for c in shown]
+        assert [t for t, e in zip(texts, LIBRARY.encode_batch(texts, add_special_tokens=False), strict=True) if OURS.encode(t) != e.ids] == []
+
+
 def test_encoded_rows(spark):
     rows = [(1, "Hello  World's end", "a"), (2, None, "b"), (2, None, "b"), (3, "", "c"), (None, "x", "d")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
