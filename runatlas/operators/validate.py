@@ -11,6 +11,7 @@ from runatlas.functions.coerce import coerce
 from runatlas.schemas import EVENT_FIELDS, RECORD_COLUMNS, RECORD_FIELDS, Field
 
 ABSENT = "_absent"  # optional array column: names of the fields the raw record does not have
+RAW = "raw_record"
 NOT_TEXT = "_not_text"  # optional array column: text fields that hold something else
 
 
@@ -53,16 +54,20 @@ def audit(raw: DataFrame, fields: Sequence[Field] = RECORD_FIELDS) -> DataFrame:
     """Type every field and add ``errors``, one code per faulty field in field order.
 
     Raw columns may be text or already typed; missing optional columns count
-    as null. Other columns pass through; ``raw_record`` keeps the raw values of records.
+    as null. Other columns pass through. ``raw_record`` shows what came in: the source's own text where it
+    has one, else the raw values of faulty records as JSON, nulls included, before any value is typed.
 
     The typed columns come out of a generator. A filter on what follows stays
     above it; Spark would otherwise copy the whole expression of every column
-    into the filter, and with many derived columns that grows out of hand.
+    into the filter, and with many derived columns that grows out of hand. The raw values go beside the
+    generator, so they are pruned where nothing reads them.
     """
-    if fields is RECORD_FIELDS and "raw_record" not in raw.columns:
-        # What came in, nulls included, before any value is typed: a reject must show what was wrong.
-        given = [f.name for f in fields if f.name in raw.columns]
-        raw = raw.withColumn("raw_record", F.to_json(F.struct(*given), {"ignoreNullFields": "false"}))
+    given = [f.name for f in fields if f.name in raw.columns]
+    beside = []
+    if RAW in raw.columns:
+        beside = [RAW]
+    elif fields is RECORD_FIELDS:
+        beside = [f"struct({', '.join(f'`{name}`' for name in given)}) AS _raw"]
     kinds = {f.name: f.dataType for f in raw.schema.fields}
     flags = {ABSENT, NOT_TEXT} & set(kinds)
     columns: list[str] = []
@@ -74,15 +79,19 @@ def audit(raw: DataFrame, fields: Sequence[Field] = RECORD_FIELDS) -> DataFrame:
             value = f"coalesce({value}, '{field.default}')"
         columns += [f"{value} AS {field.name}", f"{source} IS NULL AS _null_{field.name}"]
     names = [f.name for f in fields]
-    rest = [c for c in raw.columns if c not in names and c not in flags]
-    typed = raw.selectExpr(f"inline(array(struct({', '.join([*columns, *rest, *sorted(flags)])})))")
+    rest = [c for c in raw.columns if c not in names and c not in flags and c != RAW]
+    typed = raw.selectExpr(*beside, f"inline(array(struct({', '.join([*columns, *rest, *sorted(flags)])})))")
     faults = ", ".join(f for f in (_fault(field, flags) for field in fields) if f)
     # Most records are fine: the list is only built where some fault is found.
     errors = (
         f"CASE WHEN coalesce({faults}) IS NULL THEN array() "
         f"ELSE array_compact(array({faults})) END AS errors"
     )
-    return typed.selectExpr(*names, *rest, errors)
+    judged = typed.selectExpr(*names, *rest, *(["_raw"] if RAW not in raw.columns and beside else beside), errors)
+    if "_raw" not in judged.columns:
+        return judged
+    shown = F.when(F.size("errors") > 0, F.to_json("_raw", {"ignoreNullFields": "false"}))
+    return judged.select(*names, *rest, shown.alias(RAW), "errors")
 
 
 def valid_rows(audited: DataFrame) -> DataFrame:

@@ -152,3 +152,21 @@ def test_typed_rejects_keep_their_raw_values(spark, tmp_path):
         {"experiment_id": "a", "learning_rate": "n/a", "batch_size": None},
         {"experiment_id": "b", "learning_rate": "0.1", "batch_size": "16.5"},
     ]
+
+
+@pytest.mark.parametrize("name", ["etl_funnel", "dedup_first"])
+def test_raw_values_are_written_for_nobody_who_does_not_read_them(spark, name):
+    from runatlas.plans import catalog
+
+    plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "to_json" not in plan.lower() and "structstojson" not in plan.lower()
+
+
+def test_only_faulty_records_keep_their_raw_values(spark, record):
+    raw = spark.createDataFrame([(1, "ok", "success"), (None, "x", "lost")], "epochs int, model_name string, status string")
+    rows = audit(raw).select("raw_record", "errors").collect()
+    assert all(r.errors and json.loads(r.raw_record)["model_name"] in ("ok", "x") for r in rows)
+    full = record()
+    columns = ", ".join(f"`{c}` string" for c in full)
+    (row,) = audit(spark.createDataFrame([tuple(map(str, full.values()))], columns)).collect()
+    assert row.errors == [] and row.raw_record is None

@@ -28,7 +28,7 @@ def test_pipeline_end_to_end(spark, raw, tmp_path):
     runs = raw(
         {"accuracy": 0.9},
         {"accuracy": 0.8, "model_name": "vit_base"},
-        {"model_name": "yolo_v8", "status": "failed"},
+        {"model_name": "alexnet", "status": "failed"},
         {"model_name": "vit_base", "status": "running", "accuracy": None},
         {"experiment_id": "e0", "accuracy": 0.1},
         {"framework": "Keras"},
@@ -38,8 +38,8 @@ def test_pipeline_end_to_end(spark, raw, tmp_path):
     assert star.fact.count() == 4
     board = {r.model_name: r for r in spark.table("vw_model_leaderboard").collect()}
     # A model without a successful run comes first.
-    assert {m: r.accuracy_rank for m, r in board.items()} == {"yolo_v8": 1, "resnet50": 2, "vit_base": 3}
-    assert board["yolo_v8"].avg_accuracy is None and board["resnet50"].avg_accuracy == 0.9
+    assert {m: r.accuracy_rank for m, r in board.items()} == {"alexnet": 1, "yolo_v8": 2, "vit_base": 3}
+    assert board["alexnet"].avg_accuracy is None and board["yolo_v8"].avg_accuracy == 0.9
     kpis = spark.table("vw_executive_kpis").first()
     assert (kpis.total_runs, kpis.failed_runs, kpis.running_runs) == (4, 1, 1)
     assert kpis.failure_rate_pct == 25.0 and kpis.avg_accuracy == 0.85
@@ -60,7 +60,7 @@ def test_keys_survive_a_second_load(spark, raw, tmp_path):
         assert before[table] <= {tuple(r) for r in rows}, table
         assert len({r[key] for r in rows}) == len(rows)
     models = {r.model_name for r in store.read("dim_model").collect()}
-    assert models == {"resnet50", "vit_base", "alexnet"}
+    assert models == {"yolo_v8", "vit_base", "alexnet"}
     assert store.read("fact_training_run").count() == 3
     assert store.read("dim_date").count() == 4018
 
