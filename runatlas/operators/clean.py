@@ -38,7 +38,7 @@ def metric_medians(df: DataFrame) -> DataFrame:
     """
     pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in METRICS])
     long = df.filter(expects_metrics()).select("status", F.inline(pairs))
-    medians = exact_quantiles(long, ["status", "metric"], "value", {"median": 0.5}, keys_bounded=True)
+    medians = exact_quantiles(long, ["status", "metric"], "value", {"median": 0.5})
     return medians.groupBy("status").agg(
         *[
             F.max(F.when(F.col("metric") == m, F.col("median"))).alias(f"{m}_median")

@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from runatlas.functions.scalars import half_up, let
 from runatlas.operators.keyed import first_n_per_key, is_small
 from runatlas.operators.quantiles import (
-    BROADCAST_KEYS,
     interpolate,
     neighbours,
     values_at_ranks,
 )
 
 MODEL = ("model_name", "model_version")
+BROADCAST_KEYS = 20_000  # keys whose edges are broadcast
 
 # Fixed values.
 WINDOW = 200

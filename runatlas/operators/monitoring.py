@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runatlas.operators.drift import MODEL
-from runatlas.operators.quantiles import exact_quantiles
+from runatlas.operators.quantiles import quantile_summary
+
+#: The quantiles of the latency views.
+TAILS = {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95}
 
 
 def latest_minus(events: DataFrame, minutes: int) -> Column:
@@ -63,13 +66,7 @@ def allow_listed(events: DataFrame, pairs: str) -> DataFrame:
 def latency_summary(events: DataFrame, cutoff: Column) -> DataFrame:
     """Per model version: events, mean, median and 95th percentile of the latency."""
     window = trailing(events, cutoff).select(*MODEL, "latency_ms")
-    means = window.groupBy(*MODEL).agg(
-        F.count(F.lit(1)).alias("event_count"), F.avg("latency_ms").alias("avg_latency_ms")
-    )
-    tails = exact_quantiles(
-        window, MODEL, "latency_ms", {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95}
-    ).drop("_count")
-    return means.join(tails, list(MODEL), "left").orderBy(*MODEL)
+    return quantile_summary(window, MODEL, "latency_ms", TAILS, "event_count", "avg_latency_ms").orderBy(*MODEL)
 
 
 def volume_per_minute(events: DataFrame) -> DataFrame:

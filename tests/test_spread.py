@@ -45,7 +45,7 @@ def test_quantiles_equal_sorting(spark):
 
 
 def test_quantiles_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr("runatlas.operators.quantiles.BROADCAST_KEYS", 1)
+    monkeypatch.setattr("runatlas.operators.quantiles.BROADCAST_ROWS", 1)
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").cast("double").alias("v"))
     found = exact_quantiles(df, ["k"], "v", {"m": 0.5}).orderBy("k").collect()
     assert [r.m for r in found] == [499.5, 499.0, 500.0]
@@ -131,3 +131,48 @@ def test_list_files_have_a_bounded_number_of_records(spark, tmp_path, monkeypatc
     assert max(r["count"] for r in read.groupBy("_file").count().collect()) <= 40
     found = [r.experiment_id for r in read.orderBy(*json_records.input_order()).collect()]
     assert found == [r[4] for r in sorted(rows, key=lambda r: (r[0], r[1] % 4, r[2], r[1], r[3], r[4]))]
+
+
+def test_values_that_cluster_beside_an_outlier_are_cut_until_slots_are_small(spark, monkeypatch):
+    """A million different values within one part in 10**9, and one far away: two reads, no large slot."""
+    from runatlas.operators import quantiles
+
+    bound, slots, reads = 60_000, [], []
+    monkeypatch.setattr(quantiles, "SLOT_ROWS", bound)
+    located, bucketed = quantiles._locate, quantiles.bucketed
+
+    def seen(counts, group, order):
+        if order == "_v":
+            slots.append(counts.groupBy(*group).count().agg(F.max("count")).first()[0])
+        return located(counts, group, order)
+
+    monkeypatch.setattr(quantiles, "_locate", seen)
+    monkeypatch.setattr(quantiles, "bucketed", lambda *a: (reads.append(1), bucketed(*a))[1])
+    n = 1_000_000
+    v = F.when(F.col("id") == n, 1e12).otherwise(1 + F.col("id") * 1e-15 * 2)
+    df = spark.range(n + 1).select(F.lit("k").alias("k"), v.alias("v"))
+    distinct = df.select("v").distinct().count()
+    assert distinct > n * 0.9
+    row = exact_quantiles(df, ["k"], "v", {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p100": 1.0}).first()
+    assert len(reads) == 2 and max(slots) <= bound
+    want = [1 + k * 1e-15 * 2 for k in (0, n // 2, 95 * n // 100)]
+    assert [row.p0, row.p50, row.p95, row.p100] == [*want, 1e12]
+
+
+@pytest.mark.parametrize("bound", [3, 50])
+def test_quantiles_equal_sorting_in_small_slots(spark, monkeypatch, bound):
+    monkeypatch.setattr("runatlas.operators.quantiles.SLOT_ROWS", bound)
+    values = np.concatenate([np.full(70, 0.5), 0.5 + RNG.random(300) * 1e-6])
+    df = spark.createDataFrame([("a", float(x)) for x in values] + [(None, 1.0)], "k string, v double")
+    found = {r.k: r for r in exact_quantiles(df, ["k"], "v", {"a": 0.1, "b": 0.5}).collect()}
+    assert [found["a"].a, found["a"].b] == pytest.approx(np.quantile(values, [0.1, 0.5]).tolist(), rel=1e-15)
+    assert found[None].b == 1.0
+
+
+def test_summary_counts_rows_without_a_number(spark):
+    from runatlas.operators.quantiles import quantile_summary
+
+    rows = [("a", 1.0), ("a", None), ("a", 3.0), ("b", None), (None, 4.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    found = {r.k: (r.n, r.m, r.p) for r in quantile_summary(df, ["k"], "v", {"p": 0.5}, "n", "m").collect()}
+    assert found == {"a": (3, 2.0, 2.0), "b": (1, None, None), None: (1, 4.0, 4.0)}
