@@ -1017,10 +1017,10 @@ def stream_drift_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.drift_alerts(job.check(spark, last[0]), 0.05)
 
 
-def _ingested(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, metrics.VolumeJob, str]:
-    """The stored events and the partial results after an ingest in several micro-batches."""
+def _ingested(spark: SparkSession, sf_dir: str, name: str, hook=None) -> tuple[DataFrame, object, str]:
+    """The stored events and the hook's partial results after an ingest in several micro-batches."""
     log, root = _published(spark, sf_dir), scratch(spark, name)
-    job = metrics.VolumeJob(f"{root}/volume", compact_every=3)
+    job = hook and hook(f"{root}/partial", compact_every=3)
     _drained(
         ingest(spark, log, f"{root}/table", f"{root}/bad", f"{root}/checkpoint", max_files=3, after_batch=job)
     )
@@ -1030,7 +1030,7 @@ def _ingested(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, m
 @query("stream_volume", _VOLUME)
 def stream_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Volume per minute, added up from the partial results of several micro-batches."""
-    _, job, _ = _ingested(spark, sf_dir, "volume")
+    _, job, _ = _ingested(spark, sf_dir, "volume", metrics.VolumeJob)
     return plain_times(job.volume(spark))
 
 
@@ -1049,8 +1049,15 @@ FROM starts GROUP BY ALL""",
 )
 def stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latency over sliding hours after several micro-batches in random order."""
-    stored, job, _ = _ingested(spark, sf_dir, "latency")
-    return plain_times(_rounded_latency(metrics.sliding_latency(spark, job, stored)))
+    stored, panes, _ = _ingested(spark, sf_dir, "latency", metrics.LatencyPanes)
+    return plain_times(_rounded_latency(panes.sliding(stored)))
+
+
+@query("stream_latency_trailing", with_sql(oracle.EVENTS, _latency_sql(f"WHERE {_cutoff(10080)}")))
+def stream_latency_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latency summary of the last week of the stored events, from the panes' histograms."""
+    stored, panes, _ = _ingested(spark, sf_dir, "trailing", metrics.LatencyPanes)
+    return _rounded_latency(panes.trailing(stored, 10080))
 
 
 @query("stream_late_labels", _LATE_LABELS)

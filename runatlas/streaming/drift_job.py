@@ -15,7 +15,7 @@ from runatlas.functions.scalars import half_up
 from runatlas.operators.alerts import drift_alerts
 from runatlas.operators.drift import MODEL, THRESHOLD, WINDOW, with_psi
 from runatlas.operators.keyed import first_n_per_key
-from runatlas.streaming.metrics import remove
+from runatlas.streaming.partials import remove
 
 _EVENT = ("event_timestamp", "stream_entry_id", "prediction")
 

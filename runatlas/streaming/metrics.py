@@ -1,87 +1,102 @@
 """Streaming twins of the volume, latency and label queries. No event is dropped for being late.
 
-Volume and mean latency are kept as mergeable partial results: every micro-batch adds, from the
-rows that the ingest found new, counts and sums per minute and model; readers add them up. Percentiles
-do not merge, so they are computed exactly from the stored events of the windows asked for.
+Volume, means and latency histograms are kept as mergeable partial results: every micro-batch adds, from the
+rows that the ingest found new, counts and sums per minute and model, and counts per pane of five minutes, model and value bucket;
+readers add them up. Percentiles stay exact: the histograms' cumulated counts tell which buckets hold a wanted rank, and
+only the stored events of those panes and buckets are looked at.
 Labels are stored as they come and joined when read: of any age, the latest one counts.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from runatlas.operators.drift import MODEL
-from runatlas.operators.quantiles import exact_quantiles
-from runatlas.streaming.ingest import read_if_there
-
-_KEYS = ("minute", *MODEL)
-COMPACT_EVERY = 50  # micro-batches whose partial results are merged into one table
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder, wherever it is stored; nothing if it is not there."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
-
+from runatlas.operators.keyed import is_small
+from runatlas.operators.monitoring import TAILS
+from runatlas.operators.quantiles import bucketed, buckets_with_ranks, coarse_counts, quantile_columns, rank_values, wanted_ranks
+from runatlas.session import materialize
+from runatlas.streaming.partials import COMPACT_EVERY, Partials
 
-def _summed(partials: DataFrame) -> DataFrame:
-    return partials.groupBy(*_KEYS).agg(*[F.sum(c).alias(c) for c in ("event_count", "latency_sum")])
+PANE_MINUTES = 5
+BROADCAST_CELLS = 500_000  # panes' buckets (a counted bound: some 40 MB) that are broadcast; more are joined by shuffle
 
 
 class VolumeJob:
-    """Batch hook for the ingest: counts and latency sums per minute and model under ``root``.
-
-    A replayed batch overwrites its own partial results. Every ``compact_every`` batches those of all earlier
-    batches are merged into ``merged/upto=N``; they are removed one compaction later, so a reader that
-    began before still finds them.
-    """
+    """Batch hook for the ingest: counts and latency sums per minute and model under ``root``."""
 
     def __init__(self, root: str, compact_every: int = COMPACT_EVERY):
-        self.root = root
-        self.compact_every = compact_every
+        self.table = Partials(root, ("minute", *MODEL), ("event_count", "latency_sum"), compact_every)
 
     def __call__(self, fresh: DataFrame, batch_id: int) -> None:
-        spark = fresh.sparkSession
         partial = fresh.groupBy(F.date_trunc("minute", "event_timestamp").alias("minute"), *MODEL).agg(
             F.count(F.lit(1)).alias("event_count"), F.sum("latency_ms").alias("latency_sum")
         )
-        partial.write.mode("overwrite").parquet(f"{self.root}/partial/batch_id={batch_id}")
-        if batch_id and batch_id % self.compact_every == 0:
-            self._compact(spark, batch_id - 1)
-
-    def _newest(self, spark: SparkSession) -> tuple[DataFrame | None, int]:
-        merged = read_if_there(spark, f"{self.root}/merged")
-        upto = merged.agg(F.max("upto")).first()[0] if merged is not None else None
-        return (None, -1) if upto is None else (merged.filter(F.col("upto") == upto), upto)
-
-    def partials(self, spark: SparkSession) -> DataFrame:
-        """Partial results that together count every event once."""
-        merged, upto = self._newest(spark)
-        later = spark.read.parquet(f"{self.root}/partial").filter(F.col("batch_id") > upto).drop("batch_id")
-        return later if merged is None else later.unionByName(merged.drop("upto"))
-
-    def _compact(self, spark: SparkSession, upto: int) -> None:
-        """Merge the partial results of all batches up to ``upto``, the last that is surely complete."""
-        merged, before = self._newest(spark)
-        if before >= upto:
-            return
-        rows = spark.read.parquet(f"{self.root}/partial").filter(F.col("batch_id").between(before + 1, upto)).drop("batch_id")
-        rows = rows if merged is None else rows.unionByName(merged.drop("upto"))
-        _summed(rows).write.mode("overwrite").parquet(f"{self.root}/merged/upto={upto}")
-        for old in range(max(0, before + 1 - self.compact_every), before + 1):
-            remove(spark, f"{self.root}/partial/batch_id={old}")
+        self.table.add(partial, batch_id)
 
     def volume(self, spark: SparkSession) -> DataFrame:
         """Events per minute and model so far."""
-        return self.partials(spark).groupBy("minute", "model_name").agg(F.sum("event_count").alias("event_count"))
+        return self.table.read(spark).groupBy("minute", "model_name").agg(F.sum("event_count").alias("event_count"))
+
+
+class LatencyPanes:
+    """Batch hook for the ingest: latency histograms per pane of ``PANE_MINUTES`` and model under ``root``.
 
-    def means(self, spark: SparkSession, length: int = 60, slide: int = 5) -> DataFrame:
-        """Events and mean latency per model in sliding windows of ``length`` minutes."""
-        panes = self.partials(spark).withColumn("window_start", F.explode(window_starts(F.col("minute"), length, slide)))
-        total = panes.groupBy("window_start", *MODEL).agg(*[F.sum(c).alias(c) for c in ("event_count", "latency_sum")])
-        return total.select("window_start", *MODEL, "event_count", (F.col("latency_sum") / F.col("event_count")).alias("avg_latency_ms"))
+    A cell is a bucket of values about 0.4 % wide; it holds how many events, values and what sum there is. Events without
+    a usable latency have a cell of their own.
+    """
+
+    def __init__(self, root: str, compact_every: int = COMPACT_EVERY):
+        self.root = root
+        self.table = Partials(root, ("pane", *MODEL, "_b"), ("_n", "_rows", "_given", "_sum"), compact_every)
+
+    def __call__(self, fresh: DataFrame, batch_id: int) -> None:
+        self.table.add(coarse_counts(fresh.withColumn("pane", pane_of(F.col("event_timestamp"))), ["pane", *MODEL], "latency_ms"), batch_id)
+
+    def _quantiles(self, cells: DataFrame, stored: DataFrame, keys: list[str], windows: Column, length: int, name: str) -> DataFrame:
+        """One row per key from ``cells(keys, _b, _n, _rows, _given, _sum)`` and the events of the cells that matter."""
+        cells = materialize(cells.groupBy(*keys, "_b").agg(*[F.sum(c).alias(c) for c in self.table.sums]), f"{self.root}/read/{name}-{uuid.uuid4().hex[:12]}")
+        whole = cells.groupBy(*keys).agg(
+            F.sum("_rows").alias("event_count"), (F.sum("_sum") / F.nullif(F.sum("_given"), F.lit(0))).alias("avg_latency_ms")
+        )
+        hits = buckets_with_ranks(cells, keys, wanted_ranks(TAILS))
+        near = events_near(stored, hits, length)
+        values = near.withColumn("window_start", F.explode(windows)) if "window_start" in keys else near
+        ranked = rank_values(values.select(*keys, "_b", "_v"), hits, keys).select(*keys, *quantile_columns(TAILS))
+        return whole.join(ranked, keys, "left")
+
+    def sliding(self, stored: DataFrame, length: int = 60, slide: int = PANE_MINUTES) -> DataFrame:
+        """Events, mean and exact percentiles per model over sliding windows of ``length`` minutes, multiples of the panes."""
+        if slide % PANE_MINUTES or length % slide:
+            raise ValueError(f"windows must be made of whole slides, and slides of whole panes of {PANE_MINUTES} minutes")
+        cells = self.table.read(stored.sparkSession).withColumn("window_start", F.explode(window_starts(F.col("pane"), length, slide)))
+        windows = window_starts(F.col("event_timestamp"), length, slide)
+        out = self._quantiles(cells, stored, ["window_start", *MODEL], windows, length, "sliding")
+        end = F.timestamp_seconds(F.unix_seconds("window_start") + 60 * length).alias("window_end")
+        return out.select("window_start", end, *MODEL, "event_count", "avg_latency_ms", *TAILS)
+
+    def trailing(self, stored: DataFrame, minutes: int = 60) -> DataFrame:
+        """The latency summary of the last ``minutes`` before the newest event, whatever the panes' borders.
+
+        Whole panes come from the histograms; of the pane that the window begins in, the events are counted.
+        """
+        spark = stored.sparkSession
+        newest = stored.agg(F.max("event_timestamp")).first()[0]
+        begin = F.lit(newest) - F.expr(f"INTERVAL {int(minutes)} MINUTES")
+        first = F.timestamp_seconds(F.unix_seconds(pane_of(begin)) + 60 * PANE_MINUTES)
+        inside = stored.filter(F.col("event_timestamp") >= begin)
+        border = coarse_counts(inside.filter(F.col("event_timestamp") < first), MODEL, "latency_ms")
+        cells = self.table.read(spark).filter(F.col("pane") >= first).select(*MODEL, "_b", *self.table.sums)
+        return self._quantiles(cells.unionByName(border), inside, list(MODEL), F.array(), minutes, "trailing").orderBy(*MODEL)
+
+
+def pane_of(time: Column) -> Column:
+    """Start of the pane that holds a time."""
+    return F.timestamp_seconds(F.floor(F.unix_seconds(time) / (60 * PANE_MINUTES)) * 60 * PANE_MINUTES)
 
 
 def window_starts(time: Column, length: int, slide: int) -> Column:
@@ -90,16 +105,21 @@ def window_starts(time: Column, length: int, slide: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(length // slide - 1)), lambda k: F.timestamp_seconds(last - k * 60 * slide))
 
 
-def sliding_latency(spark: SparkSession, job: VolumeJob, stored: DataFrame, length: int = 60, slide: int = 5) -> DataFrame:
-    """Latency per model over sliding windows: means from the partial results, exact percentiles from ``stored`` events."""
-    starts = F.explode(window_starts(F.col("event_timestamp"), length, slide)).alias("window_start")
-    keys = ["window_start", *MODEL]
-    tails = exact_quantiles(
-        stored.select(starts, *MODEL, "latency_ms"), keys, "latency_ms", {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95}
-    )
-    end = F.timestamp_seconds(F.unix_seconds("window_start") + 60 * length).alias("window_end")
-    names = ("event_count", "avg_latency_ms", "p50_latency_ms", "p95_latency_ms")
-    return job.means(spark, length, slide).join(tails.drop("_count"), keys).select("window_start", end, *MODEL, *names)
+def events_near(stored: DataFrame, hits: DataFrame, length: int) -> DataFrame:
+    """The stored events, with ``_b`` and ``_v``, whose pane, model and bucket some located row of ``hits`` covers.
+
+    Hits of sliding windows are spread over the panes of the window; others hold for all panes.
+    """
+    cell = [*MODEL, "_b"]
+    wanted = hits.select(*[c for c in ("window_start", *cell) if c in hits.columns])
+    if "window_start" in hits.columns:
+        steps = F.transform(F.sequence(F.lit(0), F.lit(length // PANE_MINUTES - 1)), lambda k: F.timestamp_seconds(F.unix_seconds("window_start") + k * 60 * PANE_MINUTES))
+        wanted = wanted.withColumn("pane", F.explode(steps))
+        cell = ["pane", *cell]
+    wanted = wanted.select(*cell).distinct()
+    events = stored.withColumn("pane", pane_of(F.col("event_timestamp")))
+    events = bucketed(events, [*MODEL, "pane", "event_timestamp"], "latency_ms").filter("_b is not null")
+    return events.join(F.broadcast(wanted) if is_small(wanted, BROADCAST_CELLS) else wanted, cell, "left_semi")
 
 
 def ingest_labels(spark: SparkSession, labels: DataFrame, table: str, checkpoint: str, once: bool = True) -> StreamingQuery:

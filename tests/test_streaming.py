@@ -121,8 +121,6 @@ def test_volume_counts_every_event_in_any_order(spark, events, tmp_path):
     drain(spark, tmp_path, max_files=1, after_batch=job)
     got = {tuple(r) for r in job.volume(spark).collect()}
     assert got == {tuple(r) for r in monitoring.volume_per_minute(everything).collect()} and len(got) == 60
-    windows = metrics.sliding_latency(spark, job, read_predictions(spark, str(tmp_path / "table"))).collect()
-    assert sum(r.event_count for r in windows) == 60 * 12
 
 
 def test_replayed_partial_results_replace_themselves(spark, events, tmp_path):
@@ -151,3 +149,56 @@ def test_the_latest_label_counts_once(spark, events):
     labels = spark.createDataFrame(rows, "stream_entry_id string, label double, t string").withColumn("label_timestamp", F.to_timestamp("t"))
     found = monitoring.with_late_labels(events(3), labels.drop("t")).collect()
     assert len(found) == 3 and {r.stream_entry_id: r.ground_truth for r in found}["1"] == 0.75
+
+
+def with_latencies(events, n):
+    """Events with many different latencies; a few have none or an infinite one."""
+    i = F.col("stream_entry_id").cast("long")
+    latency = F.when(i % 97 == 0, F.lit(float("inf"))).otherwise(5 + F.abs(F.hash(i)) % 100_000 / 1000)
+    return events(n).withColumns({"latency_ms": latency, "event_timestamp": F.timestamp_seconds(1_700_000_000 + i * 7)})
+
+
+def test_percentiles_come_from_panes_and_few_events(spark, events, tmp_path):
+    log = str(tmp_path / "log")
+    everything = with_latencies(events, 3000)
+    for part in (3, 0, 2, 1):
+        event_log.publish(everything.filter(F.col("stream_entry_id") % 4 == part).coalesce(1), log)
+    panes = metrics.LatencyPanes(str(tmp_path / "panes"), compact_every=2)
+    drain(spark, tmp_path, max_files=1, after_batch=panes)
+    stored = read_predictions(spark, str(tmp_path / "table"))
+
+    import numpy as np
+
+    rows = [(r.model_name, int(r.event_timestamp.timestamp()), r.latency_ms) for r in everything.collect()]
+    windows = {}
+    for model, at, latency in rows:
+        for k in range(12):
+            windows.setdefault((model, at // 300 * 300 - 300 * k), []).append(latency)
+    found = {(r.model_name, int(r.window_start.timestamp())): r for r in panes.sliding(stored).collect()}
+    assert set(found) == set(windows)
+    for key, values in windows.items():
+        row, finite = found[key], np.isfinite(values).all()
+        assert row.event_count == len(values)
+        assert row.p50_latency_ms == pytest.approx(np.quantile(values, 0.5), rel=1e-12)
+        if finite:
+            assert row.avg_latency_ms == pytest.approx(np.mean(values), rel=1e-9)
+            assert row.p95_latency_ms == pytest.approx(np.quantile(values, 0.95), rel=1e-12)
+
+    # The window of the last two hours begins inside a pane.
+    newest = max(at for _, at, _ in rows)
+    for row in panes.trailing(stored, 120).collect():
+        inside = [x for model, at, x in rows if model == row.model_name and at >= newest - 7200]
+        assert row.event_count == len(inside)
+        assert row.p95_latency_ms == pytest.approx(np.quantile(inside, 0.95), rel=1e-12)
+
+
+def test_few_stored_events_are_looked_at(spark, events, tmp_path):
+    """Of the events in a trailing window only those in the buckets around the wanted ranks pass on."""
+    from runatlas.operators.quantiles import buckets_with_ranks, coarse_counts, wanted_ranks
+
+    stored = with_latencies(events, 3000)
+    hits = buckets_with_ranks(coarse_counts(stored, metrics.MODEL, "latency_ms"), metrics.MODEL, wanted_ranks(metrics.TAILS))
+    near = metrics.events_near(stored, hits, 60)
+    assert 0 < near.count() < 3000 * 0.05
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
