@@ -3,8 +3,7 @@
 The table is laid out as ``batch_id=N/event_date=D``. A replayed micro-batch
 overwrites its own folder, so a crash between write and checkpoint leaves no
 duplicate. An entry that was delivered before, on whatever date, is found in an
-index of ids beside the table, laid out by the hash of the id: a batch reads
-only the index folders its ids fall in, and never the table itself.
+index of ids beside the table (see ``id_index``), never in the table itself.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,10 +19,9 @@ from runatlas.operators.keyed import keep_first, missing_from
 from runatlas.operators.validate import audit_events, rejected_rows, valid_rows
 from runatlas.schemas import EVENT_COLUMNS, PREDICTION_SCHEMA
 from runatlas.sources.event_log import stream_log
+from runatlas.streaming.id_index import IdIndex
 
 _TABLE_SCHEMA = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in PREDICTION_SCHEMA.fields)}, batch_id bigint, event_date date"
-_INDEX_SCHEMA = "stream_entry_id string, bucket int, batch_id bigint"
-INDEX_BUCKETS = 64
 MAX_FILES = 1000  # new files of the log in one micro-batch, so a backlog is not one batch
 
 BatchHook = Callable[[DataFrame, int], None]
@@ -49,19 +47,6 @@ def index_path(table: str) -> str:
     return f"{table.rstrip('/')}-ids"
 
 
-def _id_bucket() -> Column:
-    return F.pmod(F.xxhash64("stream_entry_id"), F.lit(INDEX_BUCKETS)).cast("int")
-
-
-def _known_ids(spark: SparkSession, table: str, fresh: DataFrame, batch_id: int) -> DataFrame | None:
-    """Ids of other batches in the index folders that the rows of ``fresh`` fall in."""
-    index = read_if_there(spark, index_path(table), _INDEX_SCHEMA)
-    if index is None:
-        return None
-    touched = [r.bucket for r in fresh.select(_id_bucket().alias("bucket")).distinct().collect()]  # 64 at most
-    return index.filter(F.col("bucket").isin(touched) & (F.col("batch_id") != batch_id))
-
-
 def store_batch(batch: DataFrame, batch_id: int, table: str, quarantine: str) -> DataFrame:
     """Write one micro-batch and return the rows that were new, read from the folder just written."""
     spark = batch.sparkSession
@@ -71,7 +56,8 @@ def store_batch(batch: DataFrame, batch_id: int, table: str, quarantine: str) ->
             F.col("errors")
         ),
     )
-    # The batch is read for the quarantine, for its index folders and for the write.
+    index = IdIndex(spark, index_path(table))
+    # The batch is read for the quarantine, for the index and for the write.
     judged.persist()
     try:
         faulty = rejected_rows(judged).withColumn("validation_error", F.concat_ws("; ", "errors"))
@@ -80,17 +66,16 @@ def store_batch(batch: DataFrame, batch_id: int, table: str, quarantine: str) ->
         fresh = keep_first(valid_rows(judged), ["stream_entry_id"], order).withColumn(
             "event_date", F.to_date("event_timestamp")
         )
-        known = _known_ids(spark, table, valid_rows(judged), batch_id)
+        known = index.known(valid_rows(judged), batch_id)
         if known is not None:
             fresh = missing_from(fresh, known, ["stream_entry_id"])
         folder = f"{table}/batch_id={batch_id}"
         fresh.withColumn("ingested_at", F.current_timestamp()).write.mode("overwrite").partitionBy("event_date").parquet(folder)
     finally:
         judged.unpersist()
+        index.release()
     written = read_if_there(spark, folder, _TABLE_SCHEMA, table)
-    # Each replay gives the same rows, so its index files replace those of the attempt before.
-    ids = written.select("stream_entry_id", _id_bucket().alias("bucket"), F.lit(batch_id).cast("bigint").alias("batch_id"))
-    ids.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch_id").parquet(index_path(table))
+    index.add(written, batch_id)
     return written
 
 
