@@ -92,7 +92,7 @@ def load_fact(store: TableStore, staging: DataFrame, dims: dict[str, DataFrame])
     """Rebuild the fact table, partitioned by month."""
     fact = fact_rows(attach_keys(staging, dims))
     by_month = fact.withColumn("run_month", F.floor(F.col("date_key") / 100).cast("int"))
-    return store.overwrite(by_month, "fact_training_run", ("run_month",))
+    return store.overwrite(by_month, "fact_training_run", "run_month")
 
 
 def load_warehouse(store: TableStore, settings: Settings) -> bool:
