@@ -22,7 +22,7 @@ from runatlas.operators.validate import (
     valid_rows,
 )
 from runatlas.plans import adapter, oracle, views
-from runatlas.plans.pipeline import Settings, run_pipeline
+from runatlas.plans.pipeline import Settings, load_fact, load_warehouse, run_etl, run_pipeline
 from runatlas.schemas import DIMENSIONS, VIEW_NAMES
 from runatlas.session import materialize, workspace
 from runatlas.sources import event_log, json_records, tables
@@ -466,6 +466,61 @@ def fact_training_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_times(fact.fact_rows(fact.attach_keys(store.read("staging"), dims)))
 
 
+@query("fact_refresh", with_sql(oracle.KEYED, oracle.FACT))
+def fact_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored fact table of the early runs, refreshed to all: months that did not change stay as they are."""
+    built = star_store(spark, sf_dir)
+    dims = {t: built.read(t) for t in DIMENSIONS}
+    store = TableStore(spark, scratch(spark, "refresh"))
+    load_fact(store, _early(built.read("staging")), dims)
+    return plain_times(load_fact(store, built.read("staging"), dims).drop("run_month"))
+
+
+@query(
+    "dim_experiment_old_staging",
+    with_sql(
+        oracle.CLEAN,
+        "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS mlflow_run_id, CAST(NULL AS VARCHAR) AS mlflow_experiment_name) FROM ("
+        + oracle.dim_sql("dim_experiment")
+        + ")",
+    ),
+)
+def dim_experiment_old_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Experiments from a staging table that does not have the optional columns yet."""
+    old = _staging(spark, sf_dir).drop("mlflow_run_id", "mlflow_experiment_name")
+    return dimensions.new_dimension_rows(old, "dim_experiment", None)
+
+
+@query(
+    "pipeline_guards",
+    with_sql(
+        oracle.AUDITED,
+        """SELECT 'no_valid_record' AS guard, false AS went_on, count(*) AS rejected_rows,
+  0 AS staged_rows FROM audited
+UNION ALL SELECT 'empty_staging', false, 0, 0
+UNION ALL SELECT 'unknown_strategy', false, 0, 0""",
+    ),
+)
+def pipeline_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stops the pipeline: only faulty records, an empty staging table, a strategy that there is not."""
+    raw, order = adapter.raw_runs(spark, sf_dir), adapter.raw_order()
+    faulty = raw.withColumn("status", F.lit("unknown"))
+    store = TableStore(spark, scratch(spark, "guards"))
+    went_on = run_etl(faulty, order, store)
+    rejected = spark.read.json(store.path("rejects")).count()
+    empty = TableStore(spark, scratch(spark, "guards"))
+    empty.overwrite(records(_audited(spark, sf_dir)).limit(0), "staging")
+    loaded = load_warehouse(empty, Settings())
+    try:
+        run_etl(raw, order, store, "guess")
+        known = True
+    except ValueError:
+        known = False
+    rows = [("no_valid_record", went_on, rejected), ("empty_staging", loaded, 0), ("unknown_strategy", known, 0)]
+    staged = int(store.exists("staging"))
+    return spark.createDataFrame([(*r, staged) for r in rows], "guard string, went_on boolean, rejected_rows long, staged_rows int")
+
+
 @query(
     "fact_unresolved_keys",
     with_sql(
