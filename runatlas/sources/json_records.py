@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from runatlas.operators.validate import ABSENT, NOT_TEXT
 from runatlas.schemas import RECORD_FIELDS
+from runatlas.sources.json_lists import list_elements
 
 logger = logging.getLogger(__name__)
 
@@ -68,31 +69,11 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json_list(spark: SparkSession, path: str) -> DataFrame:
-    """Files that each hold one JSON list; anything else at the top level is an error.
-
-    Such a file is one task's work and must fit a variant value; larger inputs
-    belong in the line format.
-    """
-    documents = (
-        spark.read.option("multiLine", True)
-        .option("singleVariantColumn", "doc")
-        .json(path)
-        .select("doc", F.col("_metadata.file_path").alias("_file"))
-    )
-    is_list = F.coalesce(F.schema_of_variant("doc"), F.lit("VOID")).startswith("ARRAY")
-    checked = documents.select(
-        F.when(is_list, F.col("doc"))
-        .otherwise(F.raise_error(F.concat(F.lit("expected a JSON list at the top of "), "_file")))
-        .alias("doc"),
-        "_file",
-    )
-    elements = checked.lateralJoin(
-        spark.tvf.variant_explode(F.col("doc").outer())
-    )
+    """Files that each hold one JSON list; anything else at the top level is an error. Large files are split."""
     return _unpacked(
-        elements.select(
-            F.col("value").alias("v"),
-            F.to_json("value").alias("raw_record"),
+        list_elements(spark, path).select(
+            "v",
+            F.to_json("v").alias("raw_record"),
             "_file",
             F.lit(0).cast("long").alias("_offset"),
             F.col("pos").cast("long").alias("_row"),
