@@ -2,12 +2,12 @@
 
 The job keeps, per model, the earliest and the latest events up to the window
 length. New rows are merged into them, so a check never reads the history
-again, and the outcome equals that of the batch query over all events.
+again, and the outcome equals that of the batch query over all events. Models are dealt to ``PARTS`` parts by
+their hash; a batch reads and rewrites only the parts of its models.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,18 +15,12 @@ from runatlas.functions.scalars import half_up
 from runatlas.operators.alerts import drift_alerts
 from runatlas.operators.drift import MODEL, THRESHOLD, WINDOW, with_psi
 from runatlas.operators.keyed import first_n_per_key
-from runatlas.streaming.partials import remove
+from runatlas.streaming.keyed_state import KeyedState
 
+PARTS = 32
 _EVENT = ("event_timestamp", "stream_entry_id", "prediction")
-
-
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+_WINDOW_TYPE = "array<struct<event_timestamp:timestamp,stream_entry_id:string,prediction:double>>"
+_STATE = f"model_name string, model_version string, event_count bigint, baseline {_WINDOW_TYPE}, recent {_WINDOW_TYPE}, batch_id bigint"
 
 
 class DriftJob:
@@ -37,8 +31,8 @@ class DriftJob:
         self.window = window
         self.threshold = threshold
 
-    def state_path(self, batch_id: int) -> str:
-        return f"{self.root}/state/{batch_id}"
+    def state(self, spark: SparkSession) -> KeyedState:
+        return KeyedState(spark, f"{self.root}/state", _STATE)
 
     def alerts_path(self) -> str:
         return f"{self.root}/alerts"
@@ -46,23 +40,31 @@ class DriftJob:
     def __call__(self, fresh: DataFrame, batch_id: int) -> None:
         """Merge the new rows into the state, check the models they touch, write alerts.
 
-        Every path carries the batch id, so a replayed batch overwrites itself.
+        What is written carries the batch id, so a replayed batch overwrites itself.
         """
         spark = fresh.sparkSession
-        old = _read(spark, self.state_path(batch_id - 1))
-        if old is None and batch_id > 0:
+        dealt = fresh.select(*MODEL, *_EVENT).withColumn("part", F.pmod(F.xxhash64(*MODEL), F.lit(PARTS)).cast("int"))
+        touched = [r["part"] for r in dealt.select("part").distinct().collect()]  # PARTS at most
+        if batch_id > 0 and not self.seeded(spark):
             raise ValueError(f"no drift state after batch {batch_id - 1}; call seed() first")
-        self._merged(fresh, old).write.mode("overwrite").parquet(self.state_path(batch_id))
+        self._write(fresh, self.state(spark).read(batch_id - 1, touched), batch_id)
         results = self.check(spark, batch_id).filter("touched")
         drift_alerts(results, self.threshold).write.mode("overwrite").parquet(
             f"{self.alerts_path()}/batch_id={batch_id}"
         )
-        if batch_id > 1:  # a replay reads the state of the batch before; older ones are done with
-            remove(spark, self.state_path(batch_id - 2))
 
     def seed(self, events: DataFrame, batch_id: int) -> None:
         """Build the state after ``batch_id`` from all events so far, for a stream already running."""
-        self._merged(events, None).write.mode("overwrite").parquet(self.state_path(batch_id))
+        self._write(events, None, batch_id)
+
+    def seeded(self, spark: SparkSession) -> bool:
+        return bool(self.state(spark)._names(self.root, "state"))
+
+    def _write(self, rows: DataFrame, old: DataFrame | None, batch_id: int) -> None:
+        merged = self._merged(rows, old)
+        newest = merged.withColumn("batch_id", F.when(F.col("touched"), F.lit(batch_id)).otherwise(F.lit(-1)).cast("bigint")).drop("touched")
+        dealt = newest.withColumn("part", F.pmod(F.xxhash64(*MODEL), F.lit(PARTS)).cast("int"))
+        self.state(rows.sparkSession).write(dealt, "part", batch_id)
 
     def _merged(self, fresh: DataFrame, old: DataFrame | None) -> DataFrame:
         """One row per model and side: its window as structs, and its event count."""
@@ -94,9 +96,11 @@ class DriftJob:
 
     def check(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """Drift results of all models with a full window after a batch."""
-        state = spark.read.parquet(self.state_path(batch_id)).filter(
-            F.col("event_count") >= self.window
-        )
+        state = self.state(spark).read(batch_id)
+        if state is None:
+            state = spark.createDataFrame([], _STATE)
+        # A part that this batch left alone has the batch ids of earlier ones.
+        state = state.filter(F.col("event_count") >= self.window).withColumn("touched", F.col("batch_id") == batch_id)
         values = state.withColumns(
             {side: F.transform(side, lambda e: e["prediction"]) for side in ("baseline", "recent")}
         )

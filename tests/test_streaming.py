@@ -202,3 +202,21 @@ def test_few_stored_events_are_looked_at(spark, events, tmp_path):
     assert 0 < near.count() < 3000 * 0.05
     plan = near._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+
+
+def test_a_batch_of_one_model_leaves_the_other_parts_alone(spark, events, tmp_path):
+    job = DriftJob(str(tmp_path / "drift"), window=20)
+    many = events(400).withColumn("model_name", F.concat(F.lit("m"), (F.col("stream_entry_id").cast("long") % 10).cast("string")))
+    job(many, 0)
+    state = job.state(spark)
+    before = {p: state._versions(p) for p in state._names(state.root, "part=")}
+    assert len(before) > 3
+    job(many.filter("model_name = 'm3'").withColumn("stream_entry_id", F.concat(F.lit("x"), "stream_entry_id")), 1)
+    after = {p: state._versions(p) for p in state._names(state.root, "part=")}
+    changed = [p for p in after if after[p] != before[p]]
+    assert len(changed) == 1 and after[changed[0]] == [0, 1]
+    assert [r.model_name for r in job.check(spark, 1).filter("touched").collect()] == ["m3"]
+    assert job.check(spark, 1).count() == 10
+    # The batch again starts from the state before it.
+    job(many.filter("model_name = 'm3'").withColumn("stream_entry_id", F.concat(F.lit("x"), "stream_entry_id")), 1)
+    assert {r.event_count for r in state.read(1).collect()} == {40, 80}
