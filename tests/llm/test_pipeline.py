@@ -89,4 +89,4 @@ def test_queries_are_registered():
     import __spark_entry__
 
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
-    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 11)) and "pipeline" in __spark_entry__.queries()
+    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 14)) and "pipeline" in __spark_entry__.queries()
