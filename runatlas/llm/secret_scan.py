@@ -1,15 +1,22 @@
 """Secret scans with column functions only.
 
 Three base patterns give spans of assignments, access keys and long hexadecimal runs. Besides, every
-long token of a known encoding (hexadecimal, base32, base62, base64) goes through a randomness battery:
-chi-squared uniformity of its alphabet, Wald-Wolfowitz runs about the alphabet's middle, and serial
-correlation at lag one. The three p-values (small: not random) are joined by the Cauchy combination.
-
-Tokens are cleared as not random by the Benjamini-Hochberg procedure, run apart for each encoding and
-length class over the tokens of all documents: among the tokens cleared in a class, the expected part of
-truly random ones is at most ``CLEARED_WRONGLY``. A class whose tokens are too short for the battery to
-tell random from written ones (``POWER_LENGTH`` of its encoding) is not reported at all. Tokens that are
-not cleared, lie in a class with power, and overlap no base span are added with the kind ``random``.
+token of 16 or more characters of a known encoding (hexadecimal, base32, base62, base64) goes through a
+randomness battery: chi-squared uniformity of its alphabet (with the statistic's exact mean, variance and
+skewness, as short tokens need), Wald-Wolfowitz runs about the alphabet's middle, and serial correlation
+at lag one. The three p-values (small: not random) are joined by the Cauchy combination.
+
+Errors are controlled on both sides, by the Benjamini-Hochberg procedure, apart for each encoding and length class
+over the tokens of all documents:
+
+* a token is cleared as not random by its battery; of the tokens cleared in a class, the expected part of truly
+  random ones is at most ``CLEARED_WRONGLY``;
+* a token is reported only where it is not written text either. Chains of neighbouring characters, learned from the
+  shorter words of all documents, give its likelihood as written text; over that of a random token this is an upper
+  bound of its p-value (by Markov's inequality), at every length. Of the tokens so rejected in a class, the expected
+  part of written ones is at most ``REPORTED_WRONGLY``.
+
+Tokens that are not cleared, are rejected as written, and overlap no base span are added with the kind ``random``.
 p-values are counted in fixed bins, so the thresholds come from a table of fixed size.
 
 Positions are code points, ends exclusive: characters beyond the basic plane are first replaced by one of
@@ -36,7 +43,7 @@ KINDS = ("assign", "access", "hex", "random")
 MAY_ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]"""
 MAY_ACCESS = r"AKIA[A-Z0-9]{12}"
 LONG_HEX = r"(?<![0-9a-f])[0-9a-f]{32,}+"
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+={0,2}"
+TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}+={0,2}"
 
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Encodings: pattern of the token without padding, alphabet in value order. The first that fits is taken.
@@ -46,9 +53,22 @@ ENCODINGS = {
     "base62": ("[A-Za-z0-9]+", UPPER + LOWER + DIGITS),
     "base64": ("[A-Za-z0-9+/_-]+", UPPER + LOWER + DIGITS + "+/"),
 }
-POWER_LENGTH = {"hex": 32, "base32": 24, "base62": 24, "base64": 24}
 CLEARED_WRONGLY = 0.01
+REPORTED_WRONGLY = 0.01
 BINS_PER_DECADE, LAST_BIN = 10, 300
+
+SYMBOLS = UPPER + LOWER + DIGITS + "+/_-"
+#: Words that teach how written text looks: too short to be tested themselves.
+WORD = r"[^A-Za-z0-9+/_-]+"
+WORD_LENGTHS = (3, 15)
+#: Learned beside the corpus, so that one without words still knows written text from random.
+PRIOR = (
+    "the account name value request response record number section server client service update message "
+    "configuration version reference default handler and for with from this that session connection builder"
+)
+ANY_SHAPE = 0.2  # part of a step's probability that is spread evenly over upper, lower, digit and other
+ANY_LETTER = 0.2  # and over the characters of its shape
+LOT = 512  # items of a running sum that are appended to before they are joined to the rest
 _OPEN, _CLOSE = "\u0001", "\u0002"
 
 
@@ -60,22 +80,41 @@ def _plain(text: Column) -> Column:
     return F.translate(text, _OPEN + _CLOSE, "\u0003\u0003")
 
 
-def matches(text: Column, may: str, pattern: str) -> Column:
-    """``array<struct<start, end, value>>`` of the leftmost non-overlapping matches; ``text`` is plain."""
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    parts = F.split(F.regexp_replace(text, pattern, f"{_OPEN}$0{_CLOSE}"), f"[{_OPEN}{_CLOSE}]", -1)
-    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("inside"), none.alias("found"))
+def _placed(parts: Column) -> Column:
+    """``array<struct<start, end, value>>`` of strings that follow each other.
+
+    Lists grow by lots: appending each string to one list would copy it every time.
+    """
+    spans = "array<struct<start:int,end:int,value:string>>"
 
-    def step(seen: Column, part: Column) -> Column:
+    def one(seen: Column, part: Column) -> Column:
         end = seen["at"] + F.length(part)
-        one = F.struct(seen["at"].alias("start"), end.alias("end"), part.alias("value"))
-        return F.struct(
-            end.alias("at"),
-            (~seen["inside"]).alias("inside"),
-            F.when(seen["inside"], F.concat(seen["found"], F.array(one))).otherwise(seen["found"]).alias("found"),
+        span = F.struct(seen["at"].alias("start"), end.alias("end"), part.alias("value"))
+        return F.struct(end.alias("at"), F.concat(seen["found"], F.array(span)).alias("found"))
+
+    def lot(seen: Column, some: Column) -> Column:
+        inner = F.aggregate(some, F.struct(seen["at"].alias("at"), F.array().cast(spans).alias("found")), one)
+        joined = F.transform(
+            F.array(inner), lambda r: F.struct(r["at"].alias("at"), F.concat(seen["lots"], F.array(r["found"])).alias("lots"))
         )
+        return F.element_at(joined, 1)
+
+    def placed(all_parts: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.size(all_parts), F.lit(LOT))
+        lots = F.transform(firsts, lambda i: F.slice(all_parts, i, F.lit(LOT)))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{spans}>").alias("lots"))
+        return F.aggregate(lots, start, lot, lambda seen: F.flatten(seen["lots"]))
+
+    return F.element_at(F.transform(F.array(parts), placed), 1)
+
 
-    return F.when(text.rlike(may), F.aggregate(parts, start, step, lambda seen: seen["found"])).otherwise(none)
+def matches(text: Column, may: str, pattern: str) -> Column:
+    """``array<struct<start, end, value>>`` of the leftmost non-overlapping matches; ``text`` is plain."""
+    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    parts = F.split(F.regexp_replace(text, pattern, f"{_OPEN}$0{_CLOSE}"), f"[{_OPEN}{_CLOSE}]", -1)
+    # Every second part is a match.
+    found = F.filter(_placed(parts), lambda m, i: i % 2 == 1)
+    return F.when(text.rlike(may), found).otherwise(none)
 
 
 def base_spans(text: Column) -> Column:
@@ -103,14 +142,23 @@ def _upper_normal(z: Column) -> Column:
 
 
 def _p_uniform(value: Column, n: Column, size: Column) -> Column:
-    """Chi-squared test of equal use of the alphabet's characters (Wilson-Hilferty approximation)."""
+    """Chi-squared test of equal use of the alphabet's characters.
+
+    The statistic goes with the number of pairs of equal characters, whose first three moments are known for every
+    length; a gamma distribution with these moments stands for it (Wilson-Hilferty approximation).
+    """
     kinds = F.array_distinct(F.split(value, "", -1))
     count = F.transform(kinds, lambda c: (n - F.length(F.replace(value, c, F.lit("")))).cast("double"))
     squares = F.aggregate(count, F.lit(0.0), lambda a, c: a + c * c)
-    df = size - 1
-    statistic = F.greatest(squares * size / n - n, F.lit(1e-9))
+    pairs, chance = n * (n - 1) / 2, 1 / size
+    variance = pairs * chance * (1 - chance)
+    triples = n * (n - 1) * (n - 2) * (chance * chance - chance * chance * chance)
+    skew = (variance * (1 - 2 * chance) + triples) / F.pow(variance, F.lit(1.5))
+    df = 8 / (skew * skew)
+    z = ((squares - n) / 2 - F.lit(0.5) - pairs * chance) / F.sqrt(variance)
     spread = 2 / (9 * df)
-    return _upper_normal((F.pow(statistic / df, F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread))
+    ratio = F.greatest(1 + z * F.sqrt(2 / df), F.lit(1e-9))
+    return _upper_normal((F.pow(ratio, F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread))
 
 
 def _p_runs(values: Column, n: Column, size: Column) -> Column:
@@ -138,79 +186,132 @@ def _p_serial(values: Column, n: Column) -> Column:
     return F.when(spread > 0, 2 * _upper_normal(F.abs(z))).otherwise(F.lit(0.0))
 
 
-def candidates(text: Column) -> Column:
-    """Tokens of a known encoding with two kinds of characters: ``array<struct<start, end, class, p>>``."""
+def written_table(docs: DataFrame) -> list[float]:
+    """Logarithms of the chances that a character of ``SYMBOLS`` follows another (or the start) in written text.
+
+    Counted over the words of all ``plain`` texts: distinct words first, then their neighbouring characters. A word that
+    stands n times weighs 1 + ln(n), so that repeated texts do not make all else look unwritten.
+    A step's chance is that of its shape (upper, lower, digit, other) times that of its character, whatever its case.
+    """
+    low, high = WORD_LENGTHS
+    words = docs.select(F.explode(F.split("plain", WORD, -1)).alias("word"))
+    words = words.filter(F.length("word").between(low, high)).groupBy("word").agg(F.count("*").alias("n"))
+    steps = F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.substring(F.concat(F.lit("^"), "word"), i, F.lit(2)))
+    counted = words.select(F.explode(steps).alias("step"), "n").groupBy("step").agg(F.sum(1 + F.log("n")).alias("n")).collect()  # of fixed size
+    seen = {r["step"]: r["n"] for r in counted}
+    for word in PRIOR.split():
+        for step in zip("^" + word, word, strict=False):
+            seen["".join(step)] = seen.get("".join(step), 0) + 1
+
+    def shape(c: str) -> str:
+        return next((name for name, some in (("U", UPPER), ("L", LOWER), ("D", DIGITS)) if c in some), "^" if c == "^" else "S")
+
+    family = {"U": LOWER, "L": LOWER, "D": DIGITS, "S": "+/_-"}
+    shapes: dict[str, dict[str, float]] = {a: dict.fromkeys("ULDS", 1) for a in "^ULDS"}
+    follow: dict[tuple[str, str], float] = {}
+    for (a, b), n in seen.items():
+        shapes[shape(a)][shape(b)] += n
+        follow[a.lower(), b.lower()] = follow.get((a.lower(), b.lower()), 0) + n
+
+    def log_chance(a: str, b: str) -> float:
+        turn = shapes[shape(a)]
+        some = family[shape(b)]
+        a, b, to = a.lower(), b.lower(), shape(b)
+        within = (follow.get((a, b), 0) + 1) / sum(follow.get((a, c), 0) + 1 for c in some)
+        within = (1 - ANY_LETTER) * within + ANY_LETTER / len(some)
+        return math.log(((1 - ANY_SHAPE) * turn[to] / sum(turn.values()) + ANY_SHAPE / 4) * within)
+
+    return [log_chance(a, b) if b != "^" else 0.0 for a in "^" + SYMBOLS for b in "^" + SYMBOLS]
+
+
+def candidates(text: Column, table: list[float]) -> Column:
+    """Tokens of a known encoding, ``array<struct<start, end, class, p, w>>``.
+
+    ``p`` is the battery's p-value (small: not random), ``w`` the negative logarithm, base 10, of that of written text.
+    """
+    chances = F.split(F.lit(",".join(f"{x:.5f}" for x in table)), ",").cast("array<double>")  # folded to a constant
+    width = len(SYMBOLS) + 1
     bare = F.transform(
         matches(text, TOKEN, TOKEN),
-        lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.rtrim(m["value"], F.lit("=")).alias("value")),
-    )
-    mixed = F.filter(
-        bare,
-        lambda m: m["value"].rlike("[0-9]") & m["value"].rlike("[A-Za-z]")
-        | m["value"].rlike("[a-z]") & m["value"].rlike("[A-Z]"),
+        lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.rtrim(m["value"], F.lit("=")).alias("raw")),
     )
 
     def tested(m: Column) -> Column:
-        encoding, alphabet, size, power = (F.lit(None) for _ in range(4))
+        encoding, alphabet, size = (F.lit(None) for _ in range(3))
         for name, (pattern, letters) in reversed(ENCODINGS.items()):
-            fits = m["value"].rlike(f"^(?:{pattern})$")
+            fits = m["raw"].rlike(f"^(?:{pattern})$")
             encoding = F.when(fits, F.lit(name)).otherwise(encoding)
             alphabet = F.when(fits, F.lit(letters)).otherwise(alphabet)
             size = F.when(fits, F.lit(float(len(letters)))).otherwise(size)
-            power = F.when(fits, F.lit(POWER_LENGTH[name])).otherwise(power)
-        url = F.translate(m["value"], "-_", "+/")
-        value = F.when(encoding == "hex", F.lower(m["value"])).otherwise(url)
-        return F.struct(m["start"], m["end"], encoding.alias("encoding"), alphabet.alias("alphabet"), size.alias("size"), power.alias("power"), value.alias("value"), F.length(value).alias("n"))
+        url = F.translate(m["raw"], "-_", "+/")
+        value = F.when(encoding == "hex", F.lower(m["raw"])).otherwise(url)
+        return F.struct(m["start"], m["end"], encoding.alias("encoding"), alphabet.alias("alphabet"), size.alias("size"), m["raw"], value.alias("value"), F.length(value).alias("n"))
+
+    def step(seen: Column, c: Column) -> Column:
+        at = F.instr(F.lit(SYMBOLS), c)
+        return F.struct(at.alias("last"), (seen["log"] + F.get(chances, seen["last"] * width + at)).alias("log"))
 
     def judged(m: Column) -> Column:
         n, size = m["n"], m["size"]
         values = F.transform(F.split(m["value"], "", -1), lambda c: (F.instr(m["alphabet"], c) - 1).cast("double"))
         ps = (_p_uniform(m["value"], n, size), _p_runs(values, n, size), _p_serial(values, n))
-        bounded = [F.least(F.greatest(p, F.lit(1e-15)), F.lit(1 - 1e-15)) for p in ps]
+        # A p-value of one, which the few steps of a short token make likely, must not outweigh the other two.
+        bounded = [F.least(F.greatest(p, F.lit(1e-15)), F.lit(0.99)) for p in ps]
         cauchy = sum((F.tan((0.5 - p) * math.pi) for p in bounded), F.lit(0.0)) / len(bounded)
+        start = F.struct(F.lit(0).alias("last"), F.lit(0.0).alias("log"))
+        written = F.aggregate(F.split(m["raw"], "", -1), start, step, lambda seen: seen["log"])
         length_class = F.floor(F.log2(n.cast("double")) * 2).cast("int")
         return F.struct(
             m["start"].alias("start"),
             m["end"].alias("end"),
             F.concat_ws(":", m["encoding"], F.least(length_class, F.lit(24))).alias("class"),
             (0.5 - F.atan(cauchy) / math.pi).alias("p"),
+            (-(written + n * F.log(size)) / math.log(10)).alias("w"),
         )
 
-    with_power = F.filter(F.transform(mixed, tested), lambda m: m["n"] >= m["power"])
-    return F.transform(with_power, judged)
-
-
-def clearing_thresholds(rows: DataFrame, level: float = CLEARED_WRONGLY) -> dict[str, float]:
-    """Per class the largest p-value that is cleared as not random, by Benjamini-Hochberg over binned p-values."""
-    one = rows.select(F.explode("candidates").alias("c")).select(F.col("c.class").alias("class"), F.col("c.p").alias("p"))
-    bin_ = F.least(F.floor(-F.log10("p") * BINS_PER_DECADE), F.lit(LAST_BIN)).cast("int")
-    counted = one.groupBy("class", bin_.alias("bin")).agg(F.count("*").alias("n")).collect()  # of fixed size
-    out = {}
-    for name in {r["class"] for r in counted}:
-        bins = sorted(((r["bin"], r["n"]) for r in counted if r["class"] == name), reverse=True)
-        total, below, cleared = sum(n for _, n in bins), 0, -1.0
-        for number, n in bins:
-            below += n
-            edge = 10 ** (-number / BINS_PER_DECADE)  # no p of the bin is above it
-            if edge <= below * level / total:
-                cleared = edge
-        out[name] = cleared
-    return out
-
-
-def all_spans(base: Column, found: Column, thresholds: dict[str, float]) -> Column:
-    """Base spans and those of tokens that are not cleared and overlap no base span."""
-    limit = F.lit(1.0)
-    if thresholds:
-        limits = F.create_map(*[F.lit(x) for pair in sorted(thresholds.items()) for x in pair])
-        random = F.filter(
-            found,
-            lambda c: (c["p"] > F.coalesce(F.element_at(limits, c["class"]), limit))
-            & ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
-        )
-        more = F.transform(random, lambda c: F.struct(c["start"].alias("start"), F.lit(3).alias("kind"), c["end"].alias("end")))
-        return F.array_sort(F.concat(base, more))
-    return base
+    return F.transform(F.transform(bare, tested), judged)
+
+
+def _bin(tens: Column) -> Column:
+    """The bin of a negative logarithm, base 10, of a p-value."""
+    return F.floor(F.least(F.greatest(tens, F.lit(0.0)) * BINS_PER_DECADE, F.lit(LAST_BIN))).cast("int")
+
+
+def _rejecting_bin(bins: dict[int, int], level: float) -> int:
+    """The lowest bin that Benjamini-Hochberg rejects; beyond the last where none is."""
+    total, below, least = sum(bins.values()), 0, LAST_BIN + 1
+    for number in sorted(bins, reverse=True):
+        below += bins[number]
+        if 10 ** (-number / BINS_PER_DECADE) <= below * level / total:  # no p of the bin is above this
+            least = number
+    return least
+
+
+def thresholds(rows: DataFrame) -> dict[str, tuple[int, int]]:
+    """Per class the bins of p-values from which tokens are cleared as not random, and rejected as written."""
+    one = rows.select(F.explode("candidates").alias("c"))
+    both = F.array(_bin(-F.log10("c.p")), _bin(F.col("c.w")))
+    one = one.select(F.col("c.class").alias("class"), F.posexplode(both).alias("side", "bin"))
+    counted = one.groupBy("class", "side", "bin").agg(F.count("*").alias("n")).collect()  # of fixed size
+    sides: dict[str, tuple[dict, dict]] = {}
+    for r in counted:
+        sides.setdefault(r["class"], ({}, {}))[r["side"]][r["bin"]] = r["n"]
+    return {name: (_rejecting_bin(p, CLEARED_WRONGLY), _rejecting_bin(w, REPORTED_WRONGLY)) for name, (p, w) in sides.items()}
+
+
+def all_spans(base: Column, found: Column, limits: dict[str, tuple[int, int]]) -> Column:
+    """Base spans and those of tokens that are neither cleared nor written and overlap no base span."""
+    if not limits:
+        return base
+    cleared, rejected = (F.create_map(*[F.lit(x) for k, v in sorted(limits.items()) for x in (k, v[i])]) for i in (0, 1))
+    random = F.filter(
+        found,
+        lambda c: (_bin(-F.log10(c["p"])) < F.element_at(cleared, c["class"]))
+        & (_bin(c["w"]) >= F.element_at(rejected, c["class"]))
+        & ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
+    )
+    more = F.transform(random, lambda c: F.struct(c["start"].alias("start"), F.lit(3).alias("kind"), c["end"].alias("end")))
+    return F.array_sort(F.concat(base, more))
 
 
 def written(spans: Column) -> Column:
@@ -223,7 +324,8 @@ def written(spans: Column) -> Column:
 
 def _found(docs: DataFrame) -> DataFrame:
     plain = docs.withColumn("plain", _plain(F.col("text")))
-    return plain.withColumn("base", base_spans(F.col("plain"))).withColumn("candidates", candidates(F.col("plain")))
+    table = written_table(plain)
+    return plain.withColumn("base", base_spans(F.col("plain"))).withColumn("candidates", candidates(F.col("plain"), table))
 
 
 def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -231,7 +333,7 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     scratch = Scratch(docs.sparkSession, "secrets")
     docs = plain_columns(docs, doc_id=id_column, text=text_column)
     rows = scratch.save(_found(docs).select("doc_id", "base", "candidates"), "found")
-    spans = all_spans(F.col("base"), F.col("candidates"), clearing_thresholds(rows))
+    spans = all_spans(F.col("base"), F.col("candidates"), thresholds(rows))
 
     def count(kind: int) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
@@ -242,14 +344,16 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
 
 
 def redact(docs: DataFrame, text_column: str = "text", mask: str = "<secret>") -> DataFrame:
-    """The rows of ``docs`` with every span of the text replaced by ``mask``; all other columns as they are."""
+    """The rows of ``docs`` with every span of the text replaced by ``mask``; all other columns as they are.
+
+    Rows are written once, with what was found in them, and masked as they are read again.
+    """
     scratch = Scratch(docs.sparkSession, "secrets")
-    texts = plain_columns(docs, text=text_column)
-    thresholds = clearing_thresholds(scratch.save(_found(texts).select("candidates"), "found"))
-    plain = _plain(F.col(f"`{text_column}`"))
-    text = F.col(f"`{text_column}`")
-    spans = all_spans(base_spans(plain), candidates(plain), thresholds)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    rows = docs.select(docs[f"`{text_column}`"].alias("text"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    rows = scratch.save(_found(rows).select("row", "base", "candidates"), "found")
+    rows = rows.select("row", all_spans(F.col("base"), F.col("candidates"), thresholds(rows)).alias("spans"))
+    text = F.col("row")[text_column]
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(seen: Column, span: Column) -> Column:
         # A span that begins inside the one before only carries it on.
@@ -257,8 +361,11 @@ def redact(docs: DataFrame, text_column: str = "text", mask: str = "<secret>") -
         gap = F.substring(text, seen["at"] + 1, span["start"] - seen["at"])
         return F.struct(
             F.greatest(seen["at"], span["end"]).alias("at"),
-            F.when(fresh, F.concat(seen["out"], gap, F.lit(mask))).otherwise(seen["out"]).alias("out"),
+            F.when(fresh, F.concat(seen["out"], F.array(gap, F.lit(mask)))).otherwise(seen["out"]).alias("out"),
         )
 
-    masked = F.aggregate(spans, start, step, lambda seen: F.concat(seen["out"], F.substring(text, seen["at"] + 1, F.length(text))))
-    return docs.withColumn(text_column, F.when(F.size(spans) > 0, masked).otherwise(text))
+    def finish(seen: Column) -> Column:
+        return F.concat(F.array_join(seen["out"], ""), F.substring(text, seen["at"] + 1, F.length(text)))
+
+    masked = F.when(F.size("spans") > 0, F.aggregate("spans", start, step, finish)).otherwise(text)
+    return rows.select(*[masked.alias(c) if c == text_column else F.col("row")[c].alias(c) for c in docs.columns])

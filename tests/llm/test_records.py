@@ -131,12 +131,58 @@ def test_random_tokens_pass_the_battery_and_written_ones_do_not(spark):
     assert len(found & set(range(300))) >= 294 and not found & set(range(300, 600))
 
 
+ENGLISH = "The committee has published its annual review of the regional water supply and of the new pipelines that were opened."
+
+
+def test_random_tokens_are_found_from_16_characters_on_and_names_are_not(spark):
+    draw = np.random.default_rng(16)
+    texts, kinds = [], []
+    for name, (_, letters) in secret_scan.ENCODINGS.items():
+        letters = list(letters.upper() if name == "hex" else letters)
+        for length in (16, 20, 28, 40, 64):
+            for _ in range(60):
+                texts.append("".join(draw.choice(letters, length)))
+                kinds.append((name, length))
+    written = ["AccountGateway", "RecordBuilder", "SessionHandler", "customer", "PaymentRequest", "inventory", "Update", "list"]
+    for k in range(400):
+        texts.append("".join(draw.choice(written, 2 + k % 4)) + str(k % 10))
+        kinds.append(("name", 0))
+    docs = spark.createDataFrame([(k, f"{ENGLISH} The value {t} is set.") for k, t in enumerate(texts)], "doc_id long, text string")
+    start = len(f"{ENGLISH} The value ")
+    found = dict.fromkeys(kinds, 0)
+    for r in secret_scan.scan(docs).collect():
+        found[kinds[r.doc_id]] += f"random:{start}:{start + len(texts[r.doc_id])}" in r.spans.split(",")
+    assert found.pop(("name", 0)) <= 8
+    assert min(found.values()) >= 54, found
+
+
+def test_many_matches_in_one_text(spark):
+    text = "AKIA" + "A" * 12 + (" AKIA" + "B7" * 6) * 1500
+    row = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.n_access == 1501 and row.spans.startswith("access:0:16,access:17:33,") and row.spans.endswith(f":{len(text)}")
+
+
 def test_p_values_of_random_tokens_are_even(spark):
     draw = np.random.default_rng(4)
-    tokens = ["".join(draw.choice(list("0123456789abcdef"), 64)) for _ in range(500)]
-    frame = spark.createDataFrame([(t,) for t in tokens if re.search("[a-f]", t)], "text string")
-    ps = [c["p"] for r in frame.select(secret_scan.candidates(F.col("text")).alias("c")).collect() for c in r.c]
-    assert len(ps) == len(tokens) and 0.02 < np.mean(np.array(ps) < 0.05) < 0.1 and 0.4 < np.mean(ps) < 0.6
+    sets = [(name, length) for name in ("hex", "base32", "base62") for length in (16, 20, 64)]
+    texts = [(k, "".join(draw.choice(list(secret_scan.ENCODINGS[n][1]), length))) for k, (n, length) in enumerate(sets) for _ in range(500)]
+    frame = spark.createDataFrame(texts, "k int, plain string")
+    rows = frame.select("k", F.inline(secret_scan.candidates(F.col("plain"), secret_scan.written_table(frame)))).collect()
+    for k, (name, _) in enumerate(sets):
+        ps = np.array([r.p for r in rows if r.k == k and r["class"].startswith(name)])
+        assert len(ps) >= 490 and 0.02 < np.mean(ps < 0.05) < 0.1 and np.mean(ps < 0.002) < 0.012 and 0.4 < np.mean(ps) < 0.6, (name, k)
+
+
+def test_the_written_bound_is_a_product_of_chances(spark):
+    frame = spark.createDataFrame([("some words and Names2 to learn from; " * 3 + "QgatewayRecord71X",)], "text string")
+    table = secret_scan.written_table(frame.withColumnRenamed("text", "plain"))
+    (token,) = frame.select(secret_scan.candidates(F.col("text"), table).alias("c")).first().c
+    order = "^" + secret_scan.SYMBOLS
+    steps = zip("^QgatewayRecord71X", "QgatewayRecord71X", strict=False)
+    log = sum(table[order.index(a) * len(order) + order.index(b)] for a, b in steps)
+    assert abs(token["w"] + (log + 17 * np.log(62)) / np.log(10)) < 1e-3
+    chances = np.exp(np.array(table).reshape(len(order), len(order)))[:, 1:]
+    assert np.allclose(chances.sum(axis=1), 1.0)
 
 
 def test_redaction(spark):
