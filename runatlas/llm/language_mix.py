@@ -2,9 +2,11 @@
 
 A document is a mixture of languages, and each of its words comes from one of them. A word's
 likelihood in a language is that of its byte trigrams (with a blank at either end).
-Expectation-maximisation estimates the proportions; the set of languages grows, by the
-proportions of the mixture of all, as long as the penalised log-likelihood rises, from the
-single language with the highest likelihood on. The prediction is the language with the largest proportion, the score that proportion.
+Expectation-maximisation estimates the proportions. The set of languages grows, by the
+proportions of the mixture of all, from the single language with the highest likelihood on; of these sets the one with the highest
+penalised log-likelihood wins. Only the penalty ends the growth: no size of set is out of reach, and a larger one is left untried
+only where an upper bound of its likelihood shows that it cannot win.
+The prediction is the language with the largest proportion, the score that proportion.
 
 Trigram counts are taken from all labelled documents given for learning, in one pass with
 partial sums in each task. The tables they make have a fixed size per language; every language is learned. They are
@@ -31,9 +33,10 @@ from runatlas.llm.wordgrid import byte_table, find_words, text_slices
 BUCKETS = 1 << 15  # hashed trigrams per language
 SHARD_LANGUAGES = 64  # of one broadcast table: 8 MB
 SMOOTHING = 0.5
-ROUNDS = 12  # of expectation-maximisation
-MAX_SET = 3  # languages of a document, at most
 PENALTY = 4.0  # nats per further language and unit of log(words)
+NEAR = 0.05  # of a penalty: expectation-maximisation ends when its likelihood is that near to the highest one
+NEAR_PER_WORD = 1e-4  # or that near for each word, whichever is more
+LEAST_SHARE = 1e-12  # keeps a language in reach whose share had fallen before others did
 SLICE_BYTES = 1 << 20
 UNKNOWN = "und"
 
@@ -119,45 +122,62 @@ def learn(labelled: DataFrame) -> Model:
     return Model(languages, tables)
 
 
-def _mixture(likelihood: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions of the languages in each text, and the log-likelihood. ``likelihood``: languages x words."""
+def _mixture(likelihood: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Proportions of the languages in each text, the log-likelihood, and what the highest one exceeds it by at most.
+
+    ``likelihood``: languages x words. The log-likelihood is concave in the proportions, so its slope bounds what is still
+    to gain: words x (the largest mean of a language's share in the words, over its proportion, minus one). Texts go on until
+    that is small.
+    """
     n_words = np.diff(bounds)
+    enough = np.maximum(NEAR * PENALTY * np.log(n_words + 1.0), NEAR_PER_WORD * n_words)
     share = np.full((len(likelihood), len(n_words)), 1.0 / len(likelihood))
-    for step in range(ROUNDS + 1):
-        weighted = np.repeat(share, n_words, axis=1)
-        weighted *= likelihood
-        total = np.maximum(weighted.sum(axis=0), 1e-300)
-        if step == ROUNDS:
-            return share, np.add.reduceat(np.log(total), bounds[:-1])
-        weighted /= total
-        share = np.add.reduceat(weighted, bounds[:-1], axis=1) / n_words
+    value, above = np.zeros(len(n_words)), np.zeros(len(n_words))
+    open_texts, words = np.arange(len(n_words)), likelihood
+    while len(open_texts):
+        counts = n_words[open_texts]
+        starts = np.cumsum(counts) - counts
+        now = share[:, open_texts]
+        total = np.maximum(np.einsum("lw,lw->w", np.repeat(now, counts, axis=1), words), 1e-300)
+        slope = np.add.reduceat(words / total, starts, axis=1) / counts
+        value[open_texts] = np.add.reduceat(np.log(total), starts)
+        above[open_texts] = counts * np.maximum(slope.max(axis=0) - 1.0, 0.0)
+        going = above[open_texts] > enough[open_texts]
+        if not going.all():
+            words = words[:, np.repeat(going, counts)]
+            now, slope, open_texts = now[:, going], slope[:, going], open_texts[going]
+        moved = np.maximum(now * slope, LEAST_SHARE)
+        share[:, open_texts] = moved / moved.sum(axis=0)
+    return share, value, above
 
 
 def _select(logs: np.ndarray, bounds: np.ndarray, alone: np.ndarray) -> np.ndarray:
     """Proportions (languages x texts) of the best set of languages of each text.
 
-    ``logs``: languages x words, the best of a word zero. ``alone``: log-likelihood of each single language. Larger
-    sets are tried where the mixture of all gains more on the best language than their least penalty.
+    ``logs``: languages x words, the best of a word zero. ``alone``: log-likelihood of each single language. No set is
+    likelier than the mixture of all can be, so a text's sets grow while that bound, less the penalty of their size, is
+    above the best set so far.
     """
     n_words = np.diff(bounds)
-    share, value = _mixture(np.exp(logs), bounds)
+    penalty = PENALTY * np.log(n_words + 1.0)
+    share, value, above = _mixture(np.exp(logs), bounds)
+    highest = np.minimum(value + above, 0.0)
     single = alone.argmax(axis=0)
     every = np.arange(len(n_words))
     best, best_value = np.zeros_like(share), alone[single, every]
     best[single, every] = 1.0
     order = np.argsort(-share, axis=0, kind="stable")
-    growing = value - best_value > PENALTY * np.log(n_words + 1.0)
-    for size in range(2, min(MAX_SET, len(logs)) + 1):
+    for size in range(2, len(logs) + 1):
+        growing = highest - penalty * (size - 1) > best_value
         texts = np.flatnonzero(growing)
         if not len(texts):
             break
         words = np.flatnonzero(np.repeat(growing, n_words))
         chosen = order[:size, texts]
         picked = np.exp(logs[np.repeat(chosen, n_words[texts], axis=1), words])
-        found, value = _mixture(picked, np.r_[0, np.cumsum(n_words[texts])])
-        value = value - PENALTY * (size - 1) * np.log(n_words[texts] + 1.0)
+        found, value, _ = _mixture(picked, np.r_[0, np.cumsum(n_words[texts])])
+        value = value - penalty[texts] * (size - 1)
         better = value > best_value[texts]
-        growing[texts[~better]] = False
         kept = texts[better]
         placed = np.zeros((len(logs), len(kept)))
         np.put_along_axis(placed, chosen[:, better], found[:, better], axis=0)

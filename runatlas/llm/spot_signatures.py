@@ -8,8 +8,8 @@ search of similar documents: only neighbouring partitions can hold a pair, and p
 by length and prefixes before their sets are compared.
 
 So that every text has a fingerprint that follows all of it, the start of a text counts as an
-anchor, and a text with hardly any common word (a language without a list, say) also gets every
-eighth word by hash as anchors. Words are runs of ASCII letters, digits and non-ASCII characters.
+anchor, and where the ``REACH`` words before a word hold no common word (a language without a list, say), the word itself is
+an anchor if its hash is one of every eight. An added or lost common word thus changes signatures near its place only. Words are runs of ASCII letters, digits and non-ASCII characters.
 
 Cases: null and empty text have the empty fingerprint; two of those have likeness 1, one of them
 and another text 0. A text without content words has the hash of its bytes as only signature.
@@ -41,7 +41,7 @@ COMMON = (
     "au aux avec ce ces dans de du elle en est et il la le les mais ne par pas pour que qui sa se son sur un une "
     "al como con del el ella esta este ha las lo los más no para pero por se sin su sus una y"
 )
-SPARSE = 50  # words per anchor from which a text gets anchors by hash
+REACH = 24  # words before a word among which a common word keeps it from being an anchor by hash
 SLICE_BYTES = 2 << 20
 
 
@@ -64,10 +64,13 @@ def spot_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         place = np.searchsorted(ANCHORS, hashes)
         place[place == len(ANCHORS)] = 0
         common = ANCHORS[place] == hashes
-        sparse = np.bincount(text_of[common], minlength=upto - at) * SPARSE < n_words
+        places = np.arange(len(hashes))
+        # The last common word before each word; one of an earlier text does not count.
+        before = np.r_[-1, np.maximum.accumulate(np.where(common, places, -1))[:-1]] if len(hashes) else places
+        lonely = before < np.maximum(words.first[:-1][text_of], places - REACH)
         content = np.flatnonzero(~common)
         content_end = np.searchsorted(content, words.first[1:])
-        anchors = np.flatnonzero(common | (sparse[text_of] & (hashes % np.uint64(8) == 0)))
+        anchors = np.flatnonzero(common | (lonely & (hashes % np.uint64(8) == 0)))
         anchor_text = text_of[anchors]
         starts = np.flatnonzero(n_words)
         # The start of a text is an anchor before its first word.

@@ -1,6 +1,7 @@
 """Components, Jaccard groups and spot signatures against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -13,7 +14,7 @@ pytest.importorskip("runatlas.llm")
 from runatlas.llm import jaccard_join, spot_signatures
 from runatlas.llm.components import connected_components
 from runatlas.llm.scratch import Scratch
-from runatlas.llm.wordgrid import NOT_SPACE, find_words, hash_spans, shingle_hashes, text_slices
+from runatlas.llm.wordgrid import ALNUM, NOT_SPACE, find_words, hash_spans, shingle_hashes, text_slices
 
 SCHEMA = "doc_id long, text string, token string, n string, component string"
 
@@ -139,6 +140,54 @@ def test_signatures_see_edits_at_any_place():
     assert spot_signatures.likeness(a, a) == 1.0 and spot_signatures.likeness(a, a[:10], at_least=0.5) == 0.0
 
 
+def plain_signatures(text):
+    """(anchor, content word, content word) of a text, found word by word."""
+    words = re.findall(r"[0-9A-Za-z\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    common = set(spot_signatures.COMMON.split())
+    out = set()
+    for i in range(-1, len(words)):
+        anchor = words[i] if i >= 0 else ""
+        if i >= 0 and anchor not in common:
+            lonely = not any(w in common for w in words[max(0, i - spot_signatures.REACH) : i])
+            data = np.frombuffer(anchor.encode(), dtype=np.uint8)
+            if not lonely or int(find_words(data, np.array([0, len(data)]), ALNUM).hashes()[0]) % 8:
+                continue
+        content = [w for w in words[i + 1 :] if w not in common][:2]
+        if content:
+            out.add((anchor, *content))
+    return out
+
+
+def test_signatures_equal_plain_ones():
+    draw = np.random.default_rng(3)
+    rare = [f"word{k}" for k in range(80)] + ["Ñandú", "中文", "x1"]
+    texts = ["", "the of", "a", "House"]
+    for n in (3, 40, 120, 300):
+        for share in (0.0, 0.02, 0.1, 0.5):
+            texts.append(" ".join(draw.choice(["the", "und", "Es"]) if draw.random() < share else draw.choice(rare) for _ in range(n)))
+    texts += [t + " tail of it" for t in texts]
+    sets = [s for _, s in spot_signatures.spot_sets(pa.array(texts))]
+    plain = [plain_signatures(t) for t in texts]
+    assert [len(s) for s, p in zip(sets, plain, strict=True) if p] == [len(p) for p in plain if p]
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if plain[i] and plain[j]:
+            want = len(plain[i] & plain[j]) / len(plain[i] | plain[j])
+            assert spot_signatures.likeness(sets[i], sets[j]) == pytest.approx(want)
+
+
+@pytest.mark.parametrize("n_common", range(0, 40))
+def test_one_more_common_word_changes_signatures_near_it_only(n_common):
+    words = [f"word{k}" for k in range(500)]
+    for k in range(n_common):
+        words[(k * 37 + 11) % 500] = "the"
+    more = [*words[:250], "the", *words[250:]]
+    a, b = (s for _, s in spot_signatures.spot_sets(pa.array([" ".join(words), " ".join(more)])))
+    shared = len(np.intersect1d(a, b))
+    # The new anchor, those that the signatures over its place had, and hashed anchors within its reach.
+    assert len(a) + len(b) - 2 * shared <= 3 + spot_signatures.REACH
+    assert spot_signatures.likeness(a, b) > 0.6
+
+
 def test_similar_groups_of_spots(spark):
     rows = [(r[0], r[1]) for r in documents() if r[1] and r[1].strip()]
     rows = list({i: (i, t) for i, t in rows}.values())

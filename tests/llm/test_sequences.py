@@ -56,16 +56,56 @@ def test_every_labelled_language_is_learned(spark):
     assert {r.doc_id: r.lang_pred for r in found} == {k: name for k, _, name in rows}
 
 
+def test_four_languages_of_one_text_are_all_kept(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("text", "lang")
+    model = language_mix.learn(docs)
+    texts = {r.lang: r.text for r in docs.filter("length(text) > 1500").collect()}
+    mixed = "\n".join(texts[k][:1000] for k in ("fr", "en", "de", "es"))
+    row = language_mix.predict(spark.createDataFrame([(1, mixed)], "doc_id long, text string"), model).first()
+    assert set(row.proportions) == {"fr", "en", "de", "es"}
+    assert all(0.15 < share < 0.35 for share in row.proportions.values())
+
+
+def plain_mixture(likelihood, rounds=4000):
+    """``likelihood``: words x languages."""
+    p = np.full(likelihood.shape[1], 1 / likelihood.shape[1])
+    for _ in range(rounds):
+        w = likelihood * p
+        p = (w / w.sum(axis=1, keepdims=True)).mean(axis=0)
+    return p, np.log((likelihood * p).sum(axis=1)).sum()
+
+
 def test_expectation_maximisation_by_hand():
     draw = np.random.default_rng(0)
     likelihood, bounds = draw.random((30, 3)) + 0.01, np.array([0, 10, 30])
-    share, value = language_mix._mixture(likelihood.T.copy(), bounds)
+    share, value, above = language_mix._mixture(likelihood.T.copy(), bounds)
     for d, (a, b) in enumerate([(0, 10), (10, 30)]):
-        p = np.full(3, 1 / 3)
-        for _ in range(language_mix.ROUNDS):
-            w = likelihood[a:b] * p
-            p = (w / w.sum(axis=1, keepdims=True)).mean(axis=0)
-        assert np.allclose(share[:, d], p) and np.isclose(value[d], np.log((likelihood[a:b] * p).sum(axis=1)).sum())
+        _, highest = plain_mixture(likelihood[a:b])
+        found = np.log(likelihood[a:b] @ share[:, d]).sum()
+        assert np.isclose(share[:, d].sum(), 1.0) and np.isclose(value[d], found)
+        assert value[d] <= highest + 1e-9 and highest <= value[d] + above[d] + 1e-9
+        assert above[d] <= language_mix.NEAR * language_mix.PENALTY * np.log(b - a + 1.0)
+
+
+def test_the_set_with_the_highest_penalised_likelihood_is_chosen():
+    draw = np.random.default_rng(4)
+    sizes = set()
+    for n_true in (1, 2, 3, 4, 5, 6) * 3:
+        n_words = int(draw.integers(60, 600))
+        logs = -draw.exponential(6.0, (6, n_words))
+        logs[draw.integers(0, n_true, n_words), np.arange(n_words)] = 0.0
+        logs -= logs.max(axis=0)
+        penalty = language_mix.PENALTY * np.log(n_words + 1.0)
+        got = language_mix._select(logs, np.array([0, n_words]), logs.sum(axis=1)[:, None])[:, 0]
+        kept = np.flatnonzero(got)
+        reached = plain_mixture(np.exp(logs[kept]).T)[1] - penalty * (len(kept) - 1)
+        # The sets are those that follow the order of the proportions of all.
+        order = np.argsort(-plain_mixture(np.exp(logs).T)[0], kind="stable")
+        single = logs.sum(axis=1).max()
+        best = max(single, *(plain_mixture(np.exp(logs[order[:k]]).T)[1] - penalty * (k - 1) for k in range(2, 7)))
+        assert best - reached <= 2 * language_mix.NEAR * penalty
+        sizes.add(len(kept))
+    assert max(sizes) > 3
 
 
 def some_model():
