@@ -27,6 +27,7 @@ from runatlas.schemas import DIMENSIONS, VIEW_NAMES
 from runatlas.session import materialize, workspace
 from runatlas.sources import event_log, json_records, tables
 from runatlas.sources.tables import TableStore
+from runatlas.streaming import labels as label_stream
 from runatlas.streaming import metrics
 from runatlas.streaming.drift_job import DriftJob
 from runatlas.streaming.ingest import ingest, read_predictions
@@ -678,7 +679,10 @@ def late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def daily_prediction_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rollup = monitoring.daily_rollup(_events(spark, sf_dir))
+    return _rounded_rollup(monitoring.daily_rollup(_events(spark, sf_dir)))
+
+
+def _rounded_rollup(rollup: DataFrame) -> DataFrame:
     return rollup.withColumns(
         {c: half_up(F.col(c), 6) for c in ("mean_abs_error", "avg_latency_ms")}
     )
@@ -1115,18 +1119,63 @@ def stream_latency_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_latency(panes.trailing(stored, 10080))
 
 
-@query("stream_late_labels", _LATE_LABELS)
-def stream_late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored events with the latest label of each; both came in several micro-batches, some labels twice."""
-    stored, _, root = _ingested(spark, sf_dir, "labels")
+def _sent_labels(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """A stream of labels in several micro-batches; half of them also came before, with another value."""
     labels = adapter.late_labels(spark, sf_dir).withColumn("stream_entry_id", F.col("stream_entry_id").cast("string"))
     early = labels.withColumns({"label": F.lit(-1.0), "label_timestamp": F.col("label_timestamp") - F.expr("INTERVAL 1 MINUTE")})
     labels.unionByName(early.filter("cast(stream_entry_id AS BIGINT) % 2 = 0")).repartition(6).write.parquet(f"{root}/sent")
-    stream = (
+    return (
         spark.readStream.schema("stream_entry_id string, label double, label_timestamp timestamp")
         .option("maxFilesPerTrigger", 2)
         .parquet(f"{root}/sent")
     )
+
+
+def _maintained(spark: SparkSession, sf_dir: str, name: str) -> tuple[label_stream.LabelJob, str]:
+    """Kept labels and rollup after an ingest whose middle the labels came in: some wait for events, some are corrected."""
+    log, root = scratch(spark, "event-log"), scratch(spark, name)
+    job = label_stream.LabelJob(f"{root}/labels", f"{root}/table", compact_every=3)
+    events, half = _events(spark, sf_dir), F.pmod(F.xxhash64("stream_entry_id"), F.lit(2))
+    stream = _sent_labels(spark, sf_dir, root)
+    for part in (0, 1):
+        event_log.publish(events.filter(half == part).repartition(3), log)
+        _drained(
+            ingest(spark, log, f"{root}/table", f"{root}/bad", f"{root}/checkpoint", max_files=2, after_batch=job.add_events)
+        )
+        if part == 0:
+            _drained(label_stream.keep_labels(spark, stream, job, f"{root}/labels-checkpoint"))
+    return job, f"{root}/table"
+
+
+@query("stream_kept_labels", _LATE_LABELS)
+def stream_kept_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored events with their kept labels; half of the events came after their labels."""
+    job, table = _maintained(spark, sf_dir, "kept-labels")
+    labelled = job.labelled(read_predictions(spark, table))
+    return plain_times(
+        labelled.select(F.col("stream_entry_id").cast("long").alias("stream_entry_id"), *_PREDICTION_COLUMNS.split(", ")[1:])
+    )
+
+
+@query(
+    "stream_daily_rollup",
+    f"""WITH labelled AS ({_LATE_LABELS})
+SELECT CAST(event_timestamp AS DATE) AS event_date, model_name, model_version,
+  count(*) AS event_count, count(ground_truth) AS labelled_count,
+  {oracle.rnd('avg(abs(prediction - ground_truth))', 6)} AS mean_abs_error,
+  {oracle.rnd('avg(latency_ms)', 6)} AS avg_latency_ms FROM labelled GROUP BY ALL""",
+)
+def stream_daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily rollup with late and corrected labels, from signed changes."""
+    job, _ = _maintained(spark, sf_dir, "daily-rollup")
+    return _rounded_rollup(job.rollup(spark))
+
+
+@query("stream_late_labels", _LATE_LABELS)
+def stream_late_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored events with the latest label of each; both came in several micro-batches, some labels twice."""
+    stored, _, root = _ingested(spark, sf_dir, "labels")
+    stream = _sent_labels(spark, sf_dir, root)
     _drained(metrics.ingest_labels(spark, stream, f"{root}/labels", f"{root}/labels-checkpoint"))
     labelled = monitoring.with_late_labels(stored, spark.read.parquet(f"{root}/labels"))
     return plain_times(

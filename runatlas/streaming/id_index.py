@@ -152,7 +152,16 @@ class IdIndex:
         None if there is no other batch yet. ``release`` frees what this holds.
         """
         own = f"{batch_id}-{batch_id}-0"
-        live = [n for n in self.live() if n != own]
+        found = self._rows_near(ids, [n for n in self.live() if n != own])
+        return None if found is None else found.filter(F.col("batch_id") != batch_id).select(_ID)
+
+    def located(self, ids: DataFrame) -> DataFrame | None:
+        """``(stream_entry_id, batch_id)`` of those among ``ids`` that are stored; None if nothing is. ``release`` frees what this holds."""
+        found = self._rows_near(ids, self.live())
+        return None if found is None else found.select(_ID, "batch_id").join(ids.select(_ID), _ID, "left_semi")
+
+    def _rows_near(self, ids: DataFrame, live: list[str]) -> DataFrame | None:
+        """The rows of the recent runs, and those of the merged ones that hold an id of ``ids``."""
         if not live:
             return None
         merged = [n for n in live if self._parts(n)[2]]
@@ -167,9 +176,7 @@ class IdIndex:
                 older = self._read(sorted(counts)).join(F.broadcast(maybe) if short else maybe, ["run", _ID], "left_semi")
                 older = older.select(_ID, "batch_id", "run")
                 found = older if found is None else found.unionByName(older)
-        if found is None:
-            return None
-        return found.filter(F.col("batch_id") != batch_id).select(_ID)
+        return found
 
     def release(self) -> None:
         """Free what ``known`` holds, once its result has been used."""

@@ -43,6 +43,12 @@ def read_predictions(spark: SparkSession, table: str) -> DataFrame | None:
     return read_if_there(spark, table, _TABLE_SCHEMA)
 
 
+def read_batches(spark: SparkSession, table: str, batches: list[int]) -> DataFrame:
+    """The rows that the named batches brought; no other folder is listed."""
+    folders = [f"{table.rstrip('/')}/batch_id={b}" for b in sorted(batches)]
+    return spark.read.schema(_TABLE_SCHEMA).option("basePath", table).parquet(*folders)
+
+
 def index_path(table: str) -> str:
     return f"{table.rstrip('/')}-ids"
 

@@ -29,13 +29,21 @@ class KeyedState:
     def _folder(self, part: str, version: int) -> str:
         return f"{self.root}/part={part}/version={version}"
 
-    def read(self, upto: int, parts: list | None = None) -> DataFrame | None:
-        """The state after batch ``upto``, of the parts named or of all; None if there is none."""
+    def read(self, upto: int, parts: list | None = None, named: str | None = None) -> DataFrame | None:
+        """The state after batch ``upto``, of the parts named or of all; None if there is none.
+
+        With ``named`` the part stands in a column of that name, as text.
+        """
         folders = []
         for part in self._names(self.root, "part=") if parts is None else map(str, parts):
             if done := [v for v in self._versions(part) if v <= upto]:
                 folders.append(self._folder(part, done[-1]))
-        return self.spark.read.schema(self.schema).parquet(*folders) if folders else None
+        if not folders:
+            return None
+        if named is None:
+            return self.spark.read.schema(self.schema).parquet(*folders)
+        beside = self.spark.read.schema(f"{self.schema}, part string").option("basePath", self.root).parquet(*folders)
+        return beside.withColumnRenamed("part", named).drop("version")
 
     def write(self, df: DataFrame, part: str, batch_id: int) -> None:
         """New versions of the parts that ``df`` has rows of; the column ``part`` tells which."""
