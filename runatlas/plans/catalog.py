@@ -291,7 +291,7 @@ def rejects_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     json_records.write_rejects(rejected_rows(_audited(spark, sf_dir)), path)
     shown = ("experiment_id", "framework", "learning_rate", "batch_size")
     raw = F.from_json("raw_record", ", ".join(f"{c} string" for c in shown))
-    return spark.read.schema("raw_record string, validation_error string").json(path).select(
+    return json_records.read_rejects(spark, path).select(
         *[raw[c].alias(c) for c in shown], "validation_error"
     )
 
@@ -508,7 +508,7 @@ def pipeline_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
     faulty = raw.withColumn("status", F.lit("unknown"))
     store = TableStore(spark, scratch(spark, "guards"))
     went_on = run_etl(faulty, order, store)
-    rejected = spark.read.json(store.path("rejects")).count()
+    rejected = json_records.read_rejects(spark, store.path("rejects")).count()
     empty = TableStore(spark, scratch(spark, "guards"))
     empty.overwrite(records(_audited(spark, sf_dir)).limit(0), "staging")
     loaded = load_warehouse(empty, Settings())

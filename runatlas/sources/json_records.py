@@ -20,6 +20,9 @@ logger = logging.getLogger(__name__)
 # Where a row stood in its input; sorting by these restores the input order.
 INPUT_ORDER = ("source_rank", "_file", "_offset", "_row")
 
+FILE_RECORDS = 200_000  # of a written file, at most: some 150 MB of text
+REJECT_SCHEMA = "raw_record string, validation_error string"
+
 
 def input_order() -> list[Column]:
     return [F.col(c) for c in INPUT_ORDER]
@@ -103,13 +106,22 @@ def read_sources(
     return merge_sources(found)
 
 
+def _write_lines(df: DataFrame, path: str) -> None:
+    """JSON lines in gzip: a tenth of the text. A file of these is not split, so each holds few enough for one task."""
+    writer = df.write.mode("overwrite").option("compression", "gzip")
+    writer.option("maxRecordsPerFile", FILE_RECORDS).json(path)
+
+
 def write_records(df: DataFrame, path: str) -> None:
     """Records as JSON lines."""
-    df.write.mode("overwrite").json(path)
+    _write_lines(df, path)
 
 
 def write_rejects(rejected: DataFrame, path: str) -> None:
     """Each rejected record with its errors; written even if there are none."""
-    rejected.select("raw_record", F.concat_ws("; ", "errors").alias("validation_error")).write.mode(
-        "overwrite"
-    ).json(path)
+    _write_lines(rejected.select("raw_record", F.concat_ws("; ", "errors").alias("validation_error")), path)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_rejects`` wrote; the declared columns spare a read that finds them out."""
+    return spark.read.schema(REJECT_SCHEMA).json(path)

@@ -170,3 +170,16 @@ def test_only_faulty_records_keep_their_raw_values(spark, record):
     columns = ", ".join(f"`{c}` string" for c in full)
     (row,) = audit(spark.createDataFrame([tuple(map(str, full.values()))], columns)).collect()
     assert row.errors == [] and row.raw_record is None
+
+
+def test_rejects_are_written_dense_and_in_files_of_a_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("runatlas.sources.json_records.FILE_RECORDS", 400)
+    text = F.concat(F.lit('{"framework": "Keras", "note": "'), F.repeat(F.lit("a b "), 50), F.col("id").cast("string"), F.lit('"}'))
+    rejected = spark.range(0, 1000, 1, 1).select(text.alias("raw_record"), F.array(F.lit("framework:enum")).alias("errors"))
+    write_rejects(rejected, str(tmp_path / "rejects"))
+    files = list((tmp_path / "rejects").glob("part-*"))
+    assert len(files) == 3
+    assert sum(f.stat().st_size for f in files) * 5 < 1000 * 230
+    back = spark.read.json(str(tmp_path / "rejects"))
+    assert back.select("raw_record").distinct().count() == 1000
+    assert {r.validation_error for r in back.collect()} == {"framework:enum"}
