@@ -248,7 +248,7 @@ def write_lists(raw: DataFrame, path: str) -> None:
     element = F.struct(*place, "json")
     files = ranged.withColumn("piece", piece).groupBy("source_rank", "file", "piece").agg(F.array_sort(F.collect_list(element)).alias("rows"))
     text = F.concat(F.lit("["), F.array_join(F.transform("rows", lambda r: r["json"]), ","), F.lit("]"))
-    files.select("source_rank", "file", "piece", text.alias("value")).write.partitionBy("source_rank", "file", "piece").text(path)
+    files.select("source_rank", "file", "piece", text.alias("value")).write.partitionBy("source_rank", "file", "piece").option("compression", "gzip").text(path)
 
 
 @query(

@@ -6,6 +6,8 @@ piece *does* to that state is known for either case: it flips "in string" if it
 one number where it begins outside a string and by another where it begins inside one. These compose, so
 blocks are summed up on their own for both cases, the blocks' sums are combined in order (one row a block), and each block then knows its
 true state. A comma outside strings at depth one ends an element; pieces of one element are joined, also over block borders.
+
+Where no file is larger than a few MB, every file is one row instead, and nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -21,6 +23,9 @@ from runatlas.session import materialize, workspace
 
 BROADCAST_BLOCKS = 200_000  # blocks (a counted bound: some 20 MB) whose states are broadcast; more are joined by shuffle
 _BLOCK = ("_file", "_block")
+WHOLE_BYTES = 8 << 20  # text of a file that is parsed as one row, at most, and no more than a split
+PACKED_BYTES = WHOLE_BYTES // 16  # of a compressed file whose text is measured to find that out
+_PACKED = r"(?i)\.(gz|gzip|bz2|deflate|lz4|snappy|zst|zstd)$"
 
 
 def _depth_change(text: Column) -> Column:
@@ -112,11 +117,39 @@ def _blocks(pieces: DataFrame) -> DataFrame:
     )
 
 
+def _all_small(spark: SparkSession, path: str) -> bool:
+    """Whether no file's text is larger than ``WHOLE_BYTES`` or than a split."""
+    most = min(WHOLE_BYTES, spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").rlike(_PACKED).alias("packed"), "length")
+    plain, packed = files.agg(F.max(F.when(~F.col("packed"), F.col("length"))), F.max(F.when(F.col("packed"), F.col("length")))).first()
+    if (plain or 0) > most or (packed or 0) > min(PACKED_BYTES, most):
+        return False
+    if packed is None:
+        return True
+    return (spark.read.text(path, wholetext=True).agg(F.max(F.octet_length("value"))).first()[0] or 0) <= most
+
+
+def _whole_lists(spark: SparkSession, path: str) -> DataFrame:
+    """``list_elements`` for small files: one row each, without a shuffle."""
+    rows = spark.read.text(path, wholetext=True).filter(F.col("value") != "")
+    text = F.regexp_replace("value", r"^[\s\x{FEFF}]+", "")
+    # The parser stops after the first value. What may follow it differs inside a list and inside an object, but for a comma.
+    listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    parsed = rows.select(F.col("_metadata.file_path").alias("_file"), listed.alias("listed"), text.alias("value"))
+    lone = F.try_parse_json(F.concat(F.lit('{"l":'), F.col("value"), F.lit("}"))).isNotNull() & F.col("value").startswith("[")
+    found = F.when(lone & (F.size("listed") == 1), F.try_variant_get(F.get("listed", F.lit(0)), "$", "array<variant>"))
+    broken = F.raise_error(F.concat(F.lit("expected a JSON list at the top of "), "_file"))
+    checked = parsed.select("_file", found.alias("found")).select("_file", F.when(F.col("found").isNotNull(), F.col("found")).otherwise(broken).alias("found"))
+    return checked.select("_file", F.posexplode("found").alias("pos", "v")).withColumn("pos", F.col("pos").cast("long"))
+
+
 def list_elements(spark: SparkSession, path: str) -> DataFrame:
     """``_file``, ``pos`` and ``v`` (a variant) of every element of the list files under ``path``.
 
-    A file that does not hold one JSON list is an error. What one task holds is a block, or an element.
+    A file that does not hold one JSON list is an error. What one task holds is a block, an element, or a small file.
     """
+    if _all_small(spark, path):
+        return _whole_lists(spark, path)
     pieces = _pieces(spark, path)
     blocks = materialize(_blocks(pieces), f"{workspace(spark)}/list-blocks-{uuid.uuid4().hex[:12]}")
     side = F.broadcast(blocks) if is_small(blocks, BROADCAST_BLOCKS) else blocks

@@ -76,3 +76,26 @@ def test_anything_but_one_list_is_an_error(spark, tmp_path, text):
         return
     with pytest.raises(Exception, match="expected a JSON list"):
         read(spark, tmp_path)
+
+
+def test_small_packed_files_are_read_without_a_shuffle(spark, tmp_path):
+    import gzip
+
+    from runatlas.sources import json_lists
+
+    values = {f"p{k}.json.gz": [{"id": i, "text": 'x,]"\\{' * (i % 5)} for i in range(k * 50)] for k in range(4)}
+    for name, rows in values.items():
+        (tmp_path / name).write_bytes(gzip.compress(("﻿ " + json.dumps(rows)).encode()))
+    plan = list_elements(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert read(spark, tmp_path) == {name: rows for name, rows in values.items() if rows}
+    # A file that unpacks to much more than it takes is not one row.
+    (tmp_path / "wide.json.gz").write_bytes(gzip.compress(json.dumps([" " * 1000] * 9000).encode()))
+    assert not json_lists._all_small(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("text", ["[1]} x", "[1]], [[2]", '[1], "k": 2', '[1]}, {"l": [2]', "null", "[1]]}", '"[1]"'])
+def test_what_follows_the_list_of_a_small_file_is_an_error(spark, tmp_path, text):
+    (tmp_path / "bad.json").write_text(text)
+    with pytest.raises(Exception, match="expected a JSON list"):
+        read(spark, tmp_path)
