@@ -34,20 +34,17 @@ def _unpacked(rows: DataFrame) -> DataFrame:
     What text alone cannot tell (key absent or null, text field holding a
     number) goes to two flag columns that validation reads.
     """
-    def at(name: str) -> Column:
-        return F.try_variant_get("v", f"$.{name}", "variant")
+    # One lookup of all fields each, as a walk from the top for every field would cost most of the reading.
+    texts = [f.name for f in RECORD_FIELDS if isinstance(f.dtype, T.StringType)]
 
-    kinds = [
-        F.when(
-            ~F.coalesce(F.schema_of_variant(at(f.name)), F.lit("VOID")).isin("STRING", "VOID"),
-            f.name,
-        )
-        for f in RECORD_FIELDS
-        if isinstance(f.dtype, T.StringType)
-    ]
-    absent = [F.when(at(f.name).isNull(), f.name) for f in RECORD_FIELDS if f.default is not None]
-    return rows.select(
-        *[F.try_variant_get("v", f"$.{f.name}", "string").alias(f.name) for f in RECORD_FIELDS],
+    def all_as(kind: str, names: Sequence[str]) -> Column:
+        return F.try_variant_get("v", "$", f"struct<{', '.join(f'`{n}`: {kind}' for n in names)}>")
+
+    looked_up = rows.withColumns({"_text": all_as("string", [f.name for f in RECORD_FIELDS]), "_value": all_as("variant", texts)})
+    kinds = [F.when(~F.coalesce(F.schema_of_variant(F.col(f"_value.{n}")), F.lit("VOID")).isin("STRING", "VOID"), n) for n in texts]
+    absent = [F.when(F.col(f"_value.{f.name}").isNull(), f.name) for f in RECORD_FIELDS if f.default is not None]
+    return looked_up.select(
+        *[F.col(f"_text.{f.name}").alias(f.name) for f in RECORD_FIELDS],
         F.array_compact(F.array(*absent)).alias(ABSENT),
         F.array_compact(F.array(*kinds)).alias(NOT_TEXT),
         "raw_record",
