@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from runatlas.schemas import RECORD_SCHEMA
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name of a null
+_CODEC = "zstd"  # tables are read more often than written, and take a third less than with the default
 KEPT_VERSIONS = 2  # pointers whose folders stay: the current one and that before
 
 
@@ -134,7 +135,7 @@ class TableStore:
             wanted = F.col(partition_by).isin(values) if values else F.lit(False)
             df = df.filter(wanted | F.col(partition_by).isNull() if None in changed else wanted)
         folder = f"{self.path(name)}/versions/version={number}"
-        writer = (df.hint("rebalance", partition_by) if partition_by else df).write.mode("overwrite")
+        writer = (df.hint("rebalance", partition_by) if partition_by else df).write.mode("overwrite").option("compression", _CODEC)
         (writer.partitionBy(partition_by) if partition_by else writer).parquet(folder)
         new = {n.split("=", 1)[1]: f"version={number}/{n}" for n in self._names(folder) if partition_by and "=" in n}
         folders = kept | new or {"": f"version={number}"}
@@ -161,14 +162,19 @@ class TableStore:
         return [v for v in now if v not in same], [_NULL_PARTITION if v is None else str(v) for v in same]
 
     def append(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("append").parquet(self.path(name))
+        df.write.mode("append").option("compression", _CODEC).parquet(self.path(name))
         return self.read(name)
 
 
+CSV_RECORDS = 500_000  # of a written file, at most: some 150 MB of text
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with header. Timestamps keep their microseconds."""
+    """CSV with header, in gzip and in files of bounded size, as such a file is not split. Timestamps keep their microseconds."""
     (
         df.write.mode("overwrite")
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", CSV_RECORDS)
         .option("header", True)
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         .csv(path)
