@@ -183,3 +183,28 @@ def test_rejects_are_written_dense_and_in_files_of_a_bounded_size(spark, tmp_pat
     back = spark.read.json(str(tmp_path / "rejects"))
     assert back.select("raw_record").distinct().count() == 1000
     assert {r.validation_error for r in back.collect()} == {"framework:enum"}
+
+
+def test_fields_of_a_json_record_are_looked_up_at_once(spark, tmp_path, record):
+    read = read_json_lines(spark, lines(tmp_path / "in.json", [record()]))
+    plan = read._jdf.queryExecution().analyzed().toString()
+    assert plan.count("try_variant_get(") <= 3
+
+
+def test_csv_staging_is_dense_in_files_of_a_bounded_size(spark, tmp_path, record, monkeypatch):
+    from runatlas.sources import tables
+
+    monkeypatch.setattr(tables, "CSV_RECORDS", 400, raising=False)
+    one = records(valid_rows(audit(read_json_lines(spark, lines(tmp_path / "in.json", [record()])))))
+    rows = one.crossJoin(spark.range(0, 1000, 1, 1)).withColumn("experiment_id", F.concat(F.lit("r"), F.col("id").cast("string"))).drop("id").coalesce(1)
+    tables.write_csv(rows, str(tmp_path / "csv"))
+    assert len(list((tmp_path / "csv").glob("part-*.csv.gz"))) == 3
+    assert tables.read_csv(spark, str(tmp_path / "csv")).exceptAll(rows).isEmpty()
+
+
+def test_refreshed_tables_take_the_dense_codec(spark, tmp_path):
+    from runatlas.sources.tables import TableStore
+
+    store = TableStore(spark, str(tmp_path))
+    store.overwrite(spark.range(10), "t")
+    assert all(f.name.endswith(".zstd.parquet") for f in tmp_path.rglob("part-*")) and list(tmp_path.rglob("part-*"))
