@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runatlas.functions.coerce import coerce
+from runatlas.functions.coerce import coerce, to_double
 from runatlas.schemas import EVENT_FIELDS, RECORD_COLUMNS, RECORD_FIELDS, Field
 
 ABSENT = "_absent"  # optional array column: names of the fields the raw record does not have
@@ -71,16 +71,23 @@ def audit(raw: DataFrame, fields: Sequence[Field] = RECORD_FIELDS) -> DataFrame:
     kinds = {f.name: f.dataType for f in raw.schema.fields}
     flags = {ABSENT, NOT_TEXT} & set(kinds)
     columns: list[str] = []
+    numbers: list[str] = []
     for field in fields:
         kind = kinds.get(field.name, T.StringType())
         source = field.name if field.name in kinds else "cast(NULL AS STRING)"
-        value = coerce(source, kind, field.dtype)
+        if isinstance(field.dtype, T.IntegerType) and isinstance(kind, T.StringType):
+            # Read once below the generator; whether it is whole is then asked of a number.
+            numbers.append(f"{to_double(source, kind)} AS _number_{field.name}")
+            value = coerce(f"_number_{field.name}", T.DoubleType(), field.dtype)
+        else:
+            value = coerce(source, kind, field.dtype)
         if field.default is not None:
             value = f"coalesce({value}, '{field.default}')"
         columns += [f"{value} AS {field.name}", f"{source} IS NULL AS _null_{field.name}"]
     names = [f.name for f in fields]
     rest = [c for c in raw.columns if c not in names and c not in flags and c != RAW]
-    typed = raw.selectExpr(*beside, f"inline(array(struct({', '.join([*columns, *rest, *sorted(flags)])})))")
+    read = raw.selectExpr("*", *numbers) if numbers else raw
+    typed = read.selectExpr(*beside, f"inline(array(struct({', '.join([*columns, *rest, *sorted(flags)])})))")
     faults = ", ".join(f for f in (_fault(field, flags) for field in fields) if f)
     # Most records are fine: the list is only built where some fault is found.
     errors = (
