@@ -159,8 +159,13 @@ def tracked_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tracked_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parameters of the tracked runs as (run, key, text); some runs lack some."""
+def _of_runs(rows: DataFrame, runs: DataFrame | None) -> DataFrame:
+    """The rows of ``runs``; all rows without."""
+    return rows if runs is None else rows.join(runs.select("run_id"), "run_id", "left_semi")
+
+
+def tracked_params(spark: SparkSession, sf_dir: str, runs: DataFrame | None = None) -> DataFrame:
+    """Parameters of the tracked runs as (run, key, text); some runs lack some. Of ``runs`` only, if given."""
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     values: dict[str, Column] = {
         "model_name": pick([m[0] for m in MODEL_PROFILES], key % 12),
@@ -177,15 +182,21 @@ def tracked_params(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sys_ram_gb": F.when(key % 13 != 0, pick(("16", "32.0", "64"), cust % 3)),
     }
     pairs = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in values.items()])
+    orders = table(spark, sf_dir, "orders").select(
+        F.md5(key.cast("string")).alias("run_id"), "o_orderkey", "o_custkey"
+    )
     return (
-        table(spark, sf_dir, "orders")
-        .select(F.md5(key.cast("string")).alias("run_id"), F.inline(pairs))
+        _of_runs(orders, runs)
+        .select("run_id", F.inline(pairs))
         .filter(F.col("value").isNotNull())
     )
 
 
-def tracked_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metrics of the tracked runs as (run, key, value, step, ts): one step per line item."""
+def tracked_metrics(spark: SparkSession, sf_dir: str, runs: DataFrame | None = None) -> DataFrame:
+    """Metrics of the tracked runs as (run, key, value, step, ts): one step per line item.
+
+    With ``runs``, the steps of other runs go before a step becomes a row for each metric.
+    """
     disc, tax = F.abs("l_discount"), F.abs("l_tax")
     values: dict[str, Column] = {
         "training_duration_sec": F.when(F.col("l_partkey") % 5 == 0, 0.0).otherwise(
@@ -201,14 +212,16 @@ def tracked_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         "validation_loss": 11 * tax,
     }
     pairs = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in values.items()])
+    read = ("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    steps = spread(table(spark, sf_dir, "lineitem")).select(
+        F.md5(F.col("l_orderkey").cast("string")).alias("run_id"),
+        F.col("l_linenumber").alias("step"),
+        _utc("l_shipdate").alias("ts"),
+        *read,
+    )
     return (
-        spread(table(spark, sf_dir, "lineitem"))
-        .select(
-            F.md5(F.col("l_orderkey").cast("string")).alias("run_id"),
-            F.col("l_linenumber").alias("step"),
-            _utc("l_shipdate").alias("ts"),
-            F.inline(pairs),
-        )
+        _of_runs(steps, runs)
+        .select("run_id", "step", "ts", F.inline(pairs))
         .filter(F.col("value").isNotNull())
     )
 

@@ -866,11 +866,13 @@ def psi_first_half_vs_second_half(spark: SparkSession, sf_dir: str) -> DataFrame
 
 @query("tracked_runs_to_records", with_sql(oracle.TRACKED, _RECORD_SQL + "tracked"))
 def tracked_runs_to_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = adapter.tracked_runs(spark, sf_dir)
+    chosen = runs.filter(F.col("experiment_name") == "experiment-1")
     return plain_times(
         runs_to_records(
-            adapter.tracked_runs(spark, sf_dir),
-            adapter.tracked_params(spark, sf_dir),
-            adapter.tracked_metrics(spark, sf_dir),
+            runs,
+            adapter.tracked_params(spark, sf_dir, chosen),
+            adapter.tracked_metrics(spark, sf_dir, chosen),
             "experiment-1",
             F.lit("2000-01-01").cast("timestamp"),
         )

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from runatlas.operators.validate import audit
-from runatlas.plans import catalog
+from runatlas.plans import adapter, catalog
 
 LINE = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
         "l_discount double, l_tax double, l_returnflag string, l_shipdate timestamp_ntz")
@@ -45,6 +45,16 @@ def test_audited_rows_are_not_sorted_by_validity(spark, tables):
     assert audited.filter("is_valid").select("experiment_id").distinct().count() == store.read("staging").count()
 
 
+def test_other_runs_go_before_steps_become_metrics(spark, tables):
+    runs = adapter.tracked_runs(spark, tables).filter("experiment_name = 'experiment-1'")
+    for make in (adapter.tracked_metrics, adapter.tracked_params):
+        some = make(spark, tables, runs)
+        whole = make(spark, tables).join(runs, "run_id", "left_semi")
+        assert some.exceptAll(whole).isEmpty() and whole.exceptAll(some).isEmpty() and not some.isEmpty()
+        plan = some._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Generate") < plan.index("LeftSemi")  # the join lies below
+
+
 def test_text_is_read_as_a_number_once(spark):
     raw = spark.range(1).select(F.lit("32.0").alias("batch_size"), F.lit("7").alias("epochs"))
     plan = audit(raw.withColumn("id", F.rand().cast("string")))._jdf.queryExecution().analyzed().toString()
