@@ -211,6 +211,8 @@ def _deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(clean.deduplicate(_valid(spark, sf_dir), adapter.raw_order()))
 
 
+SLICES = 8  # for each split of the input, so that the distinct ids that one task holds do not grow with a split
+
 _RECORD_SQL = f"SELECT {oracle.RECORD} FROM "
 
 
@@ -226,11 +228,12 @@ def merge_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Primary records, then the tracked ones, then nothing for a source that is absent."""
     raw = adapter.raw_runs(spark, sf_dir).drop("source_rank")
     tracked = F.coalesce(F.col("source"), F.lit("")) == "mlflow"
-    merged = json_records.merge_sources([raw.filter(~tracked), raw.filter(tracked)])
+    merged = json_records.merge_sources([raw.filter(~tracked), raw.filter(tracked)]).select(
+        "source_rank", F.coalesce("source", F.lit("synthetic")).alias("source"), "experiment_id"
+    )
+    slices = SLICES * adapter.table(spark, sf_dir, "lineitem").rdd.getNumPartitions()
     return (
-        merged.select(
-            "source_rank", F.coalesce("source", F.lit("synthetic")).alias("source"), "experiment_id"
-        )
+        merged.repartition(slices, *merged.columns)
         .groupBy("source_rank", "source")
         .agg(
             F.count(F.lit(1)).alias("record_count"),

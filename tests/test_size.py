@@ -55,6 +55,14 @@ def test_other_runs_go_before_steps_become_metrics(spark, tables):
         assert plan.index("Generate") < plan.index("LeftSemi")  # the join lies below
 
 
+def test_merged_sources_are_counted_in_slices(spark, tables):
+    merged = catalog.QUERIES["merge_sources"](spark, tables)
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan
+    counted = {(r.source_rank, r.source): (r.record_count, r.experiments) for r in merged.collect()}
+    assert counted == {(0, "synthetic"): (24, 24), (1, "mlflow"): (13, 12)}
+
+
 def test_text_is_read_as_a_number_once(spark):
     raw = spark.range(1).select(F.lit("32.0").alias("batch_size"), F.lit("7").alias("epochs"))
     plan = audit(raw.withColumn("id", F.rand().cast("string")))._jdf.queryExecution().analyzed().toString()
