@@ -59,11 +59,13 @@ class LatencyPanes:
 
     def _quantiles(self, cells: DataFrame, stored: DataFrame, keys: list[str], windows: Column, length: int, name: str) -> DataFrame:
         """One row per key from ``cells(keys, _b, _n, _rows, _given, _sum)`` and the events of the cells that matter."""
-        cells = materialize(cells.groupBy(*keys, "_b").agg(*[F.sum(c).alias(c) for c in self.table.sums]), f"{self.root}/read/{name}-{uuid.uuid4().hex[:12]}")
+        folder = f"{self.root}/read/{name}-{uuid.uuid4().hex[:12]}"
+        cells = materialize(cells.groupBy(*keys, "_b").agg(*[F.sum(c).alias(c) for c in self.table.sums]), f"{folder}/cells")
         whole = cells.groupBy(*keys).agg(
             F.sum("_rows").alias("event_count"), (F.sum("_sum") / F.nullif(F.sum("_given"), F.lit(0))).alias("avg_latency_ms")
         )
-        hits = buckets_with_ranks(cells, keys, wanted_ranks(TAILS))
+        # Read four times below, so the windows over all cells are worked out once.
+        hits = materialize(buckets_with_ranks(cells, keys, wanted_ranks(TAILS)), f"{folder}/hits")
         near = events_near(stored, hits, length)
         values = near.withColumn("window_start", F.explode(windows)) if "window_start" in keys else near
         ranked = rank_values(values.select(*keys, "_b", "_v"), hits, keys).select(*keys, *quantile_columns(TAILS))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from runatlas.operators.validate import audit
 from runatlas.plans import adapter, catalog
+from runatlas.streaming import metrics
 
 LINE = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
         "l_discount double, l_tax double, l_returnflag string, l_shipdate timestamp_ntz")
@@ -69,3 +70,23 @@ def test_text_is_read_as_a_number_once(spark):
     assert plan.count("batch_size#") and plan.lower().count("rlike") == 2
     row = audit(raw.withColumn("epochs", F.lit("7.5"))).first()
     assert (row.batch_size, row.epochs) == (32, None) and "epochs:type" in row.errors
+
+
+def test_located_cells_are_worked_out_once(spark, tmp_path, monkeypatch):
+    start = datetime.datetime(2025, 3, 1)
+    rows = [(f"m{n % 2}", "v1", float(n % 17), start + datetime.timedelta(minutes=n)) for n in range(200)]
+    stored = spark.createDataFrame(rows, "model_name string, model_version string, latency_ms double, event_timestamp timestamp")
+    panes, plans = metrics.LatencyPanes(str(tmp_path / "panes")), []
+    panes(stored, 0)
+    ranked = metrics.rank_values
+
+    def watched(values, hits, keys):
+        plans.append(hits._jdf.queryExecution().optimizedPlan().toString())
+        return ranked(values, hits, keys)
+
+    monkeypatch.setattr(metrics, "rank_values", watched)
+    whole = {(r.window_start, r.model_name): r for r in panes.sliding(stored).collect()}
+    assert plans and "Window" not in plans[0]  # a stored table
+    one = whole[start, "m0"]
+    values = sorted(float(n % 17) for n in range(0, 60, 2))
+    assert one.event_count == 30 and one.p50_latency_ms == (values[14] + values[15]) / 2
