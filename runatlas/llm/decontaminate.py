@@ -46,6 +46,7 @@ BLOCK = 2  # units; wider blocks let most passages through
 SHARD_BYTES = 1 << 20  # of item text in one broadcast index
 SHARD_ITEMS = 2048
 HINT_BITS = 18
+GATHERED = 1 << 20  # block maxima (4 MB) that are summed at a time
 
 
 def word_list(text: str) -> tuple[np.ndarray, list[bool]]:
@@ -208,13 +209,18 @@ def passages(index: Index, data: np.ndarray, offsets: np.ndarray, threshold: flo
         return [], words, hashes
     cell, term = keys // len(index.terms), keys % len(index.terms)
     starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
-    bound = np.zeros((first_cell[-1] + 1, index.block_max.shape[1]), dtype=np.float32)
-    bound[cell[starts]] = np.add.reduceat(index.block_max[term], starts, axis=0)
+    spans = np.r_[starts, len(cell)]
+    blocks = index.block_max.shape[1]
+    bound = np.zeros((first_cell[-1] + 1, blocks), dtype=np.float32)
+    step = max(1, GATHERED // (UNIT * blocks))  # cells; each has at most UNIT terms
+    for at in range(0, len(starts), step):
+        upto = min(at + step, len(starts))
+        maxima = index.block_max[term[spans[at] : spans[upto]]]
+        bound[cell[starts[at:upto]]] = np.add.reduceat(maxima, starts[at:upto] - starts[at], axis=0)
     cell_text = np.repeat(np.arange(len(counts)), cells)
     paired = np.r_[cell_text[1:] == cell_text[:-1], False] if len(cell_text) else np.zeros(0, bool)
-    bound[:-1] += np.where(paired[:, None], bound[1:], 0)
-    hopeful = np.flatnonzero((bound[:-1] >= threshold - 1e-4).any(axis=1))
-    spans = np.r_[starts, len(cell)]
+    np.add(bound[:-1], bound[1:], out=bound[:-1], where=paired[:, None])
+    hopeful = np.flatnonzero(bound[:-1].max(axis=1) >= threshold - 1e-4)
     place = dict(zip(cell[starts].tolist(), range(len(starts)), strict=True))
     out = []
     for c in hopeful.tolist():
