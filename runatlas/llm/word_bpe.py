@@ -8,8 +8,8 @@ merge unlinks the right symbol and pushes the two new pairs. Decoding looks up e
 vocabulary string and joins the strings by one space, as the library does for a file that
 names no decoder.
 
-Encodings of the parts between white space are kept in two generations of a bounded cache;
-decoding starts from the ids alone.
+Encodings of the parts between white space, and of the words in them, are kept in two generations of a bounded cache;
+a word that stands in several parts is merged once. Decoding starts from the ids alone.
 
 Cases: null and empty text have no ids, and decode to the empty text. Texts of any length are
 taken part by part. Repeated rows, extra columns and empty tables need no special care: one row
@@ -48,11 +48,14 @@ WORD_KNOWN = regex.compile(
     rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}--[{_LATER}]]+|[\p{{N}}--[{_LATER}]]|(?:[^\p{{White_Space}}\p{{L}}\p{{N}}]|[{_LATER}])+"
 )
 SMALL = {c: chr(small + c - first) for first, last, small in CAPITALS for c in range(first, last + 1)}
+SURE = "\u0250"  # all letters before this one are letters to the library too
 _CAPITAL = regex.compile(f"[{''.join(map(chr, SMALL))}]")
 
 
 def words_of(part: str) -> list[str]:
-    """Words of the pattern; parts beyond ASCII need the longer form of it."""
+    """Words of the pattern; parts beyond ASCII need the longer form of it. Letters alone are one word."""
+    if part.isalpha() and (part.isascii() or max(part) < SURE):
+        return [part]
     return (WORD if part.isascii() else WORD_KNOWN).findall(part)
 
 
@@ -73,10 +76,12 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings = {i: s for s, i in (self.ids | self.special).items()}
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        #: Both ids packed into one number: rank and id of the merged symbol.
-        self.merges: dict[int, tuple[int, int]] = {}
+        #: By both ids packed into one number: the rank, shifted to leave room for a position.
+        self.ranks: dict[int, int] = {}
+        self.merged: list[int] = []
         for rank, (left, right) in enumerate(pairs):
-            self.merges[self.ids[left] << 32 | self.ids[right]] = (rank, self.ids[left + right])
+            self.ranks[self.ids[left] << 32 | self.ids[right]] = rank << 32
+            self.merged.append(self.ids[left + right])
         self.text_of = {str(i): t for i, t in self.strings.items()}
         symbols = byte_symbols()
         self.inner = [self.ids.get(s) for s in symbols]
@@ -88,55 +93,68 @@ class WordBpe:
     def encode_word(self, word: str) -> list[int]:
         """Ids of one word of the pattern."""
         data = word.encode("utf-8")
-        symbol = [self.inner[b] for b in data[:-1]] + [self.final[data[-1]]]
-        symbol = [s for s in symbol if s is not None]
+        inner = self.inner
+        symbol = [inner[b] for b in data]
+        symbol[-1] = self.final[data[-1]]
+        if None in symbol:
+            symbol = [s for s in symbol if s is not None]
         n = len(symbol)
-        merges = self.merges.get
-        queue = []
+        rank_of = self.ranks.get
+        queue = []  # rank and left position in one number
         for i in range(n - 1):
-            if found := merges(symbol[i] << 32 | symbol[i + 1]):
-                queue.append((found[0], i))
+            rank = rank_of(symbol[i] << 32 | symbol[i + 1])
+            if rank is not None:
+                queue.append(rank | i)
         if not queue:
             return symbol
         heapq.heapify(queue)
+        pop, push, merged = heapq.heappop, heapq.heappush, self.merged
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         while queue:
-            rank, i = heapq.heappop(queue)
-            j = after[i]
-            if j >= n or symbol[i] < 0:
-                continue
-            found = merges(symbol[i] << 32 | symbol[j])
-            if not found or found[0] != rank:
+            entry = pop(queue)
+            i = entry & 0xFFFFFFFF
+            left, j = symbol[i], after[i]
+            if j >= n or left < 0 or rank_of(left << 32 | symbol[j]) != entry - i:
                 continue  # stale: one of the two has merged since
-            symbol[i], symbol[j] = found[1], -1
+            symbol[i], symbol[j] = left, _ = merged[entry >> 32], -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                if found := merges(symbol[i] << 32 | symbol[k]):
-                    heapq.heappush(queue, (found[0], i))
+                rank = rank_of(left << 32 | symbol[k])
+                if rank is not None:
+                    push(queue, rank | i)
             h = before[i]
-            if h >= 0 and (found := merges(symbol[h] << 32 | symbol[i])):
-                heapq.heappush(queue, (found[0], h))
+            if h >= 0:
+                rank = rank_of(symbol[h] << 32 | left)
+                if rank is not None:
+                    push(queue, rank | h)
         return [s for s in symbol if s >= 0]
 
-    def parts(self, text: str):
+    def pieces(self, segment: str) -> list[str]:
+        """What stands between white space in text without special strings, in lower case."""
+        if not segment.isascii():
+            segment = unicodedata.normalize("NFC", segment).replace("Σ", "σ")  # no final-sigma rule in the library
+            if _CAPITAL.search(segment):
+                segment = segment.translate(SMALL)
+        segment = segment.lower()
+        if SPACE_UNLIKE_PYTHON.search(segment):  # Python's split() parts words there, the pattern does not
+            return words_of(segment)
+        return segment.split()
+
+    def parts(self, text: str) -> list[str | int]:
         """The pieces of lower-case text between white space, and the ids of special strings.
 
         Special strings are looked for in the text as it stands: one in other letters is ordinary text.
         """
-        for k, segment in enumerate(self.split_special.split(text) if "<|" in text else [text]):
+        if "<|" not in text:
+            return self.pieces(text)
+        out: list[str | int] = []
+        for k, segment in enumerate(self.split_special.split(text)):
             if k % 2:
-                yield self.special[segment]
-                continue
-            if not segment.isascii():
-                segment = unicodedata.normalize("NFC", segment).replace("Σ", "σ")  # no final-sigma rule in the library
-                if _CAPITAL.search(segment):
-                    segment = segment.translate(SMALL)
-            segment = segment.lower()
-            if SPACE_UNLIKE_PYTHON.search(segment):  # Python's split() parts words there, the pattern does not
-                yield from words_of(segment)
+                out.append(self.special[segment])
             else:
-                yield from segment.split()
+                out += self.pieces(segment)
+        return out
 
     def encode_part(self, part: str | int) -> list[int]:
         if isinstance(part, int):
@@ -149,23 +167,36 @@ class WordBpe:
     def decode(self, ids: list[int]) -> str:
         return " ".join(self.strings[i] for i in ids if i in self.strings)
 
-    def _written(self, part: str) -> str:
-        """Decimal ids of one part, joined by spaces; kept for the next time."""
-        found = self.old.get(part)
+    def _kept(self, part: str, encode) -> str:
+        """Decimal ids of a part or word, joined by spaces; kept for the next time."""
+        found = self.young.get(part)
         if found is None:
-            found = " ".join(map(str, self.encode_part(part)))
-        if len(part) <= 64:
-            if len(self.young) >= CACHE_PARTS:
-                self.young, self.old = {}, self.young
-            self.young[part] = found
+            found = self.old.get(part)
+            if found is None:
+                found = encode(part)
+            if len(part) <= 64:
+                if len(self.young) >= CACHE_PARTS:
+                    self.young, self.old = {}, self.young
+                self.young[part] = found
         return found
 
+    def _written_word(self, word: str) -> str:
+        return " ".join(map(str, self.encode_word(word)))
+
+    def _written_part(self, part: str) -> str:
+        words = words_of(part)
+        if len(words) == 1:
+            return self._written_word(words[0])
+        return " ".join(filter(None, [self._kept(word, self._written_word) for word in words]))
+
     def written(self, text: str | None) -> str:
         """Decimal ids joined by one space."""
-        out = []
-        for part in self.parts(text or ""):
-            found = self.young.get(part) if isinstance(part, str) else str(part)
-            out.append(self._written(part) if found is None else found)
+        parts = self.parts(text or "")
+        out = list(map(self.young.get, parts))
+        if None in out:
+            for at in [at for at, found in enumerate(out) if found is None]:
+                part = parts[at]
+                out[at] = str(part) if isinstance(part, int) else self._kept(part, self._written_part)
         return " ".join(filter(None, out))
 
     def read(self, written: str) -> str:
