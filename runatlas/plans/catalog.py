@@ -19,6 +19,7 @@ from runatlas.operators.validate import (
     reject_reasons,
     reject_report,
     rejected_rows,
+    valid_only,
     valid_rows,
 )
 from runatlas.plans import adapter, oracle, views
@@ -204,7 +205,7 @@ def _audited(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return valid_rows(_audited(spark, sf_dir))
+    return valid_only(adapter.raw_runs(spark, sf_dir))
 
 
 def _deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
