@@ -15,13 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from runatlas.operators.keyed import keep_first, missing_from
+from runatlas.operators.keyed import is_small, keep_first, missing_from
 from runatlas.operators.validate import audit_events, rejected_rows, valid_rows
 from runatlas.schemas import EVENT_COLUMNS, PREDICTION_SCHEMA
 from runatlas.sources.event_log import stream_log
-from runatlas.streaming.id_index import IdIndex
+from runatlas.streaming.id_index import LISTED, IdIndex
 
 _TABLE_SCHEMA = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in PREDICTION_SCHEMA.fields)}, batch_id bigint, event_date date"
+_ID = "stream_entry_id"
 MAX_FILES = 1000  # new files of the log in one micro-batch, so a backlog is not one batch
 
 BatchHook = Callable[[DataFrame, int], None]
@@ -53,6 +54,38 @@ def index_path(table: str) -> str:
     return f"{table.rstrip('/')}-ids"
 
 
+def _new_rows(rows: DataFrame, known: DataFrame | None, held: list[DataFrame]) -> DataFrame:
+    """One row per id that ``known`` does not hold, the first in the order of time and fields.
+
+    The ids are looked at first, without the other columns. Rows whose id came once and is not known pass as they are; only
+    those of ids that came several times are sorted. What is held for this goes into ``held``.
+    """
+    # Shuffled partitions that are held are not merged by size, so it is done here.
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    ids = rows.groupBy(_ID).agg((F.count(F.lit(1)) > 1).alias("_several"), F.lit(False).alias("_known"))
+    if known is not None:
+        few = is_small(rows.select(_ID), LISTED)
+        # Ids that can be listed go to the known ones, not these to them.
+        met = known.join(F.broadcast(rows.select(_ID)), _ID, "left_semi") if few else known
+        ids = ids.drop("_known").join(met.select(_ID, F.lit(True).alias("_met")), _ID, "left")
+        ids = ids.withColumn("_known", F.col("_met").isNotNull()).drop("_met")
+    marked = ids.filter("_several OR _known").coalesce(tasks).persist()
+    held.append(marked)
+    n, several = marked.agg(F.count(F.lit(1)), F.count_if(~F.col("_known"))).first()
+    if not n:
+        return rows
+
+    def listed(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if n <= LISTED else df
+
+    new = missing_from(rows, listed(marked.select(_ID)), [_ID])
+    if not several:
+        return new
+    order = [F.col(c) for c in ("event_timestamp", *EVENT_COLUMNS[:-1])]
+    again = rows.join(listed(marked.filter("NOT _known").select(_ID)), _ID, "left_semi")
+    return new.unionByName(keep_first(again, [_ID], order))
+
+
 def store_batch(batch: DataFrame, batch_id: int, table: str, quarantine: str) -> DataFrame:
     """Write one micro-batch and return the rows that were new, read from the folder just written."""
     spark = batch.sparkSession
@@ -63,22 +96,20 @@ def store_batch(batch: DataFrame, batch_id: int, table: str, quarantine: str) ->
         ),
     )
     index = IdIndex(spark, index_path(table))
-    # The batch is read for the quarantine, for the index and for the write.
+    # The batch is read for the quarantine, for its ids and for the write.
     judged.persist()
+    held: list[DataFrame] = []
     try:
         faulty = rejected_rows(judged).withColumn("validation_error", F.concat_ws("; ", "errors"))
         faulty.drop("errors").write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
-        order = [F.col(c) for c in ("event_timestamp", *EVENT_COLUMNS[:-1])]
-        fresh = keep_first(valid_rows(judged), ["stream_entry_id"], order).withColumn(
-            "event_date", F.to_date("event_timestamp")
-        )
-        known = index.known(valid_rows(judged), batch_id)
-        if known is not None:
-            fresh = missing_from(fresh, known, ["stream_entry_id"])
+        valid = valid_rows(judged)
+        fresh = _new_rows(valid, index.known(valid, batch_id), held).withColumns({"event_date": F.to_date("event_timestamp"), "ingested_at": F.current_timestamp()})
         folder = f"{table}/batch_id={batch_id}"
-        fresh.withColumn("ingested_at", F.current_timestamp()).write.mode("overwrite").partitionBy("event_date").parquet(folder)
+        # By date, so a day has a file or a few of its size instead of one from every task.
+        fresh.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(folder)
     finally:
-        judged.unpersist()
+        for df in (judged, *held):
+            df.unpersist()
         index.release()
     written = read_if_there(spark, folder, _TABLE_SCHEMA, table)
     index.add(written, batch_id)

@@ -87,10 +87,12 @@ class LatencyPanes:
         Whole panes come from the histograms; of the pane that the window begins in, the events are counted.
         """
         spark = stored.sparkSession
-        newest = stored.agg(F.max("event_timestamp")).first()[0]
+        # The stored events may be ahead of the panes, never behind.
+        last_pane = self.table.read(spark).agg(F.max("pane")).first()[0]
+        newest = _from(stored, F.lit(last_pane)).agg(F.max("event_timestamp")).first()[0]
         begin = F.lit(newest) - F.expr(f"INTERVAL {int(minutes)} MINUTES")
         first = F.timestamp_seconds(F.unix_seconds(pane_of(begin)) + 60 * PANE_MINUTES)
-        inside = stored.filter(F.col("event_timestamp") >= begin)
+        inside = _from(stored, begin)
         border = coarse_counts(inside.filter(F.col("event_timestamp") < first), MODEL, "latency_ms")
         cells = self.table.read(spark).filter(F.col("pane") >= first).select(*MODEL, "_b", *self.table.sums)
         return self._quantiles(cells.unionByName(border), inside, list(MODEL), F.array(), minutes, "trailing").orderBy(*MODEL)
@@ -101,6 +103,11 @@ def pane_of(time: Column) -> Column:
     return F.timestamp_seconds(F.floor(F.unix_seconds(time) / (60 * PANE_MINUTES)) * 60 * PANE_MINUTES)
 
 
+def _from(stored: DataFrame, begin: Column) -> DataFrame:
+    """The stored events from a time on; folders of days before it are not read, whatever time zone they were written in."""
+    return stored.filter((F.col("event_date") >= F.date_sub(F.to_date(begin), 2)) & (F.col("event_timestamp") >= begin))
+
+
 def window_starts(time: Column, length: int, slide: int) -> Column:
     """Starts of all windows that hold a time; windows begin at multiples of ``slide`` minutes."""
     last = F.floor(F.unix_seconds(time) / (60 * slide)) * 60 * slide
