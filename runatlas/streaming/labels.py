@@ -72,7 +72,7 @@ class LabelJob:
         given = labels.select("stream_entry_id", "label", "label_timestamp").filter("stream_entry_id is not null")
         waiting = self._waiting(spark, batch_id - 1)
         newest = materialize(newest_labels(given if waiting is None else given.unionByName(waiting)), f"{work}/newest")
-        met = self._met(newest, batch_id - 1)
+        met = self._met(newest, batch_id - 1, f"{work}/stored")
         if met is not None:
             met = materialize(met, f"{work}/met")
             days = [r[0] for r in met.select("day").distinct().collect()]  # days, not labels
@@ -96,8 +96,11 @@ class LabelJob:
         """Kept labels of the days after batch ``upto``, with their day."""
         return self.kept(spark).read(upto, days, "day")
 
-    def _met(self, newest: DataFrame, upto: int) -> DataFrame | None:
-        """Labels whose event is stored, beside it and beside the label kept so far; None if there is no such event."""
+    def _met(self, newest: DataFrame, upto: int, folder: str | None = None) -> DataFrame | None:
+        """Labels whose event is stored, beside it and beside the label kept so far; None if there is no such event.
+
+        With ``folder`` the labels' events are written there, so the stored events are read and joined once, not again for the days.
+        """
         spark = newest.sparkSession
         index = IdIndex(spark, index_path(self.table))
         found = index.located(newest)
@@ -112,6 +115,8 @@ class LabelJob:
             F.broadcast(newest) if few else newest, "stream_entry_id"
         )
         met = met.withColumn("day", F.col("event_date").cast("string"))
+        if folder is not None:
+            met = materialize(met, folder)
         days = [r[0] for r in met.select("day").distinct().collect()]
         old = self._old(spark, upto, days)
         if old is None:
@@ -159,8 +164,10 @@ class LabelJob:
             return events
         # An entry that waits may have come since; one that waits is not kept.
         labels = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        filled = events.join(labels.select("stream_entry_id", "label"), "stream_entry_id", "left")
-        return filled.withColumn("ground_truth", F.coalesce("ground_truth", "label")).select(*events.columns)
+        labels = labels.select("stream_entry_id", F.col("label").alias("ground_truth"))
+        # An event that came with its truth keeps it, so only the others are shuffled and joined.
+        filled = events.filter("ground_truth IS NULL").drop("ground_truth").join(labels, "stream_entry_id", "left")
+        return events.filter("ground_truth IS NOT NULL").unionByName(filled.select(*events.columns))
 
     def rollup(self, spark: SparkSession) -> DataFrame:
         """Per day and model version: events, labelled events, mean error and mean latency, as ``monitoring.daily_rollup``."""
