@@ -21,6 +21,7 @@ from runatlas.operators.fact import attach_keys, fact_rows
 from runatlas.operators.validate import audit, records, rejected_rows, valid_rows
 from runatlas.plans.views import Star, register_views
 from runatlas.schemas import DIMENSIONS
+from runatlas.session import freed_shuffles
 from runatlas.sources.json_records import write_rejects
 from runatlas.sources.tables import TableStore
 
@@ -52,6 +53,11 @@ def run_etl(
     """
     if strategy not in cleaning.STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}")
+    with freed_shuffles(store.spark):
+        return _run_etl(raw, order, store, strategy)
+
+
+def _run_etl(raw: DataFrame, order: Sequence[Column | str], store: TableStore, strategy: str) -> bool:
     judged = audit(raw).withColumn("is_valid", F.size("errors") == 0)
     # Written and read once each, so the denser codec pays. Not split by validity: that would sort all rows, and a
     # reader of either kind skips the columns of the other.
@@ -65,6 +71,7 @@ def run_etl(
     # The medians read the deduplicated rows several times.
     deduped = store.overwrite(records(cleaning.deduplicate(valid, order)), "deduped")
     store.overwrite(cleaning.handle_missing_metrics(deduped, strategy), "staging")
+    store.remove("deduped")
     return True
 
 
@@ -94,7 +101,8 @@ def load_fact(store: TableStore, staging: DataFrame, dims: dict[str, DataFrame])
     """Rebuild the fact table, partitioned by month."""
     fact = fact_rows(attach_keys(staging, dims))
     by_month = fact.withColumn("run_month", F.floor(F.col("date_key") / 100).cast("int"))
-    return store.overwrite(by_month, "fact_training_run", "run_month")
+    with freed_shuffles(store.spark):
+        return store.overwrite(by_month, "fact_training_run", "run_month")
 
 
 def load_warehouse(store: TableStore, settings: Settings) -> bool:
@@ -103,8 +111,9 @@ def load_warehouse(store: TableStore, settings: Settings) -> bool:
     if staging.isEmpty():
         logger.error("staging is empty; the warehouse is left as it was")
         return False
-    load_calendar(store, settings.calendar_start, settings.calendar_end)
-    load_fact(store, staging, load_dimensions(store, staging))
+    with freed_shuffles(store.spark):
+        load_calendar(store, settings.calendar_start, settings.calendar_end)
+        load_fact(store, staging, load_dimensions(store, staging))
     return True
 
 

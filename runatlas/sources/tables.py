@@ -161,6 +161,11 @@ class TableStore:
         same = [v for v in now if then.get(v) == now[v]]
         return [v for v in now if v not in same], [_NULL_PARTITION if v is None else str(v) for v in same]
 
+    def remove(self, name: str) -> None:
+        """Delete a table that nothing reads any more, with all its versions."""
+        fs, place = self._fs(self.path(name))
+        fs.delete(place, True)
+
     def append(self, df: DataFrame, name: str) -> DataFrame:
         df.write.mode("append").parquet(self.path(name))
         return self.read(name)
