@@ -140,7 +140,9 @@ def _whole_lists(spark: SparkSession, path: str) -> DataFrame:
     found = F.when(lone & (F.size("listed") == 1), F.try_variant_get(F.get("listed", F.lit(0)), "$", "array<variant>"))
     broken = F.raise_error(F.concat(F.lit("expected a JSON list at the top of "), "_file"))
     checked = parsed.select("_file", found.alias("found")).select("_file", F.when(F.col("found").isNotNull(), F.col("found")).otherwise(broken).alias("found"))
-    return checked.select("_file", F.posexplode("found").alias("pos", "v")).withColumn("pos", F.col("pos").cast("long"))
+    # For an inner generator Spark puts a filter on its input below the parsing, and parses each file several times more.
+    elements = checked.select("_file", F.posexplode_outer("found").alias("pos", "v")).filter(F.col("pos").isNotNull())
+    return elements.withColumn("pos", F.col("pos").cast("long"))
 
 
 def list_elements(spark: SparkSession, path: str) -> DataFrame:
